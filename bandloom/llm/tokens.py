@@ -87,6 +87,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 1024)
 
     misses.select("text_digest", "text").mapInPandas(encode, CACHE_SCHEMA).write.mode("append").parquet(cache)
     known = spark.read.schema(CACHE_SCHEMA).parquet(cache).filter(F.col("tokenizer_digest") == version).groupBy("text_digest").agg(F.max("n_tokens").alias("n_tokens"))
+    known = common.written(known, "counts")  # a table of its own, so that the join can split a frequent text's rows
     rows = docs.select("doc_id", "text_digest", F.octet_length("text").cast("long").alias("n_bytes"))
     out = rows.join(known, "text_digest")
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
