@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import common
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 SEGMENT = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^/?#]+)"
@@ -45,6 +46,7 @@ def url_filter(captures: DataFrame, entries: DataFrame) -> DataFrame:
     keys = pages.withColumn("suffix", F.explode(suffixes)).withColumn("list_key", F.explode(F.array_distinct(F.array(F.col("suffix"), F.concat("suffix", "segment")))))
     # entries of a page key: as many as its list keys have changes
     found = keys.join(intervals(entries), "list_key").groupBy("host", "segment").agg(F.collect_list(F.struct(F.length("list_key").alias("len"), F.col("valid_from"), F.col("category"), F.col("list_key"), F.col("valid_to"))).alias("found"))
+    found = common.written(found, "found")  # a table of its own, so that the join can split a frequent host's captures
     active = F.filter("found", lambda x: (x["valid_from"] <= F.col("fetched_on")) & (x["valid_to"].isNull() | (x["valid_to"] > F.col("fetched_on"))))
     better = lambda a, b: F.when(a["len"] != b["len"], b["len"] - a["len"]).when(a["valid_from"] != b["valid_from"], F.datediff(b["valid_from"], a["valid_from"])).when(a["category"] < b["category"], -1).when(a["category"] > b["category"], 1).otherwise(0)
     out = c.join(found, ["host", "segment"], "left").withColumn("best", F.try_element_at(F.array_sort(active, better), F.lit(1)))
