@@ -6,8 +6,10 @@ programming allots the t_i so that the rows to probe and the estimated candidate
 and pair counts of all fingerprints. A probe is a partition's bits with t_i of them masked, so equal probes mean a
 distance of t_i at most there. Fingerprints with equal probes are compared in numpy.
 
-A bucket never yields its pairs: it yields a spanning forest of its links, at most one edge a row, and buckets of over
+A bucket never yields its links: it yields a spanning forest of them, at most one edge a row, and buckets of over
 BLOCK rows are cut into blocks whose pairs of blocks are separate groups. Equal fingerprints are one node throughout.
+Where a text check follows, a forest would lose links, as its own edges may fail; there each round yields the nearest
+candidates of each row that the links found before do not connect.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from . import common, components, words
 
 BITS = 64
 BLOCK, CHUNK = 1024, 100_000
+#: Pairs that one step of a comparison holds, and the candidates of a node that the rounds before the last check.
+PAIRS, PARTNERS = 4_000_000, (4, 32, 256)
 #: Relative costs of a probe row (shuffled and sorted) and of a compared pair.
 PROBE_COST, PAIR_COST = 2.0, 0.01
 SCHEMA = "doc_id long, fp long, near long"
@@ -193,7 +197,7 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def forest(group: np.ndarray, fp: np.ndarray, near: np.ndarray, distance: int, near_distance: int) -> tuple[np.ndarray, np.ndarray]:
+def forest(group: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Row pairs that span the links within runs of equal group; rows of a group are adjacent."""
     n = len(group)
     label = np.arange(n)
@@ -203,7 +207,7 @@ def forest(group: np.ndarray, fp: np.ndarray, near: np.ndarray, distance: int, n
         j = i + off
         ok = label[i] != label[j]
         a, b = i[ok], j[ok]
-        ok = (np.bitwise_count(fp[a] ^ fp[b]) <= distance) & (np.bitwise_count(near[a] ^ near[b]) <= near_distance)
+        ok = np.bitwise_count(fp[a] ^ fp[b]) <= distance
         for x, y in zip(a[ok].tolist(), b[ok].tolist(), strict=True):
             lx, ly = label[x], label[y]
             if lx != ly:
@@ -216,14 +220,47 @@ def forest(group: np.ndarray, fp: np.ndarray, near: np.ndarray, distance: int, n
     return np.array(left, np.int64), np.array(right, np.int64)
 
 
-def links(nodes: DataFrame, distance: int, near_distance: int = BITS) -> DataFrame:
-    """Edges (a, b) that connect the nodes(node, fp, near) within distance just as all their links would.
+def nearest(group: np.ndarray, fp: np.ndarray, near: np.ndarray, part: np.ndarray, distance: int, near_distance: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each row with its most nearest candidates in runs of equal group that are of another part.
 
-    near_distance: how many bits of near may differ besides.
+    A row that has more is paired with itself besides, so a pair left out has both its rows marked.
+    """
+    lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    _, first, sizes = np.unique(group, return_index=True, return_counts=True)
+    bounds, pairs = np.append(first, len(group)), np.cumsum(sizes * (sizes - 1) // 2)
+    g = 0
+    while g < len(sizes):
+        until = max(g + 1, int(np.searchsorted(pairs, (pairs[g - 1] if g else 0) + PAIRS, "right")))
+        lo, hi = bounds[g], bounds[until]
+        ends, i, off, found = np.repeat(bounds[g + 1 : until + 1], sizes[g:until]), np.arange(lo, hi), 1, []
+        while len(i := i[i + off < ends[i - lo]]):
+            j = i + off
+            by, words_by = np.bitwise_count(near[i] ^ near[j]), np.bitwise_count(fp[i] ^ fp[j])
+            ok = np.flatnonzero((words_by <= distance) & (by <= near_distance) & (part[i] != part[j]))
+            found.append(np.stack([i[ok], j[ok], by[ok].astype(np.int64) + words_by[ok]]))
+            off += 1
+        if found:
+            a, b, d = np.concatenate(found, axis=1)
+            a, b, d = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([d, d])
+            order = np.lexsort((b, d, a))
+            a, b = a[order], b[order]
+            rank = np.arange(len(a)) - np.searchsorted(a, a)
+            more = np.unique(a[rank >= most])
+            lefts += [a[rank < most], more]
+            rights += [b[rank < most], more]
+        g = until
+    return np.concatenate(lefts), np.concatenate(rights)
+
+
+def compared(nodes: DataFrame, distance: int, kernel) -> DataFrame:
+    """Pairs (a, b) of the nodes(node, fp, near, part) that kernel(group, rows) picks from buckets of equal probes.
+
+    Buckets of over BLOCK rows are cut into blocks, and each pair of blocks is a group of its own.
     """
     n, both = bit_statistics(nodes)
     masks = plan(n, both, distance)
-    probes = nodes.withColumn("probe", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("bits")) for k, m in enumerate(masks)]))).select("node", "fp", "near", "probe.k", "probe.bits")
+    row = ("node", "fp", "near", "part")
+    probes = nodes.withColumn("probe", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("bits")) for k, m in enumerate(masks)]))).select(*row, "probe.k", "probe.bits")
     hot = common.written(probes.groupBy("k", "bits").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > BLOCK).withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int")).drop("rows"), "hot")
     if hot.isEmpty():
         placed = probes.withColumns({"x": F.lit(0), "y": F.lit(0)})
@@ -232,7 +269,7 @@ def links(nodes: DataFrame, distance: int, near_distance: int = BITS) -> DataFra
         others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("b"))
         placed = probes.join(hot, ["k", "bits"], "left").withColumn("b", b).withColumn("o", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(others)))
         placed = placed.withColumns({"x": F.when(F.col("b").isNull(), 0).otherwise(F.least("b", "o")), "y": F.when(F.col("b").isNull(), 0).otherwise(F.greatest("b", "o"))})
-    placed = placed.select("node", "fp", "near", "k", "bits", "x", "y").repartition("k", "bits", "x", "y").sortWithinPartitions("k", "bits", "x", "y", "near")
+    placed = placed.select(*row, "k", "bits", "x", "y").repartition("k", "bits", "x", "y").sortWithinPartitions("k", "bits", "x", "y", "near")
 
     def run(batches: Iterator[pd.DataFrame]):
         held: list[pd.DataFrame] = []
@@ -244,8 +281,7 @@ def links(nodes: DataFrame, distance: int, near_distance: int = BITS) -> DataFra
             new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
             group = np.cumsum(new)
             upto = len(all_rows) if final else int(np.searchsorted(group, group[-1]))
-            fp, near = (all_rows[c].to_numpy(np.int64).view(np.uint64)[:upto] for c in ("fp", "near"))
-            a, b = forest(group[:upto], fp, near, distance, near_distance)
+            a, b = kernel(group[:upto], all_rows.iloc[:upto])
             ids = all_rows["node"].to_numpy()
             return pd.DataFrame({"a": ids[a], "b": ids[b]}), all_rows.iloc[upto:]
 
@@ -259,7 +295,16 @@ def links(nodes: DataFrame, distance: int, near_distance: int = BITS) -> DataFra
         if size:
             yield work(pd.concat(held), True)[0]
 
-    return placed.mapInPandas(run, "a long, b long").distinct()
+    return placed.mapInPandas(run, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def unsigned(column: pd.Series) -> np.ndarray:
+    return column.to_numpy(np.int64).view(np.uint64)
+
+
+def links(nodes: DataFrame, distance: int) -> DataFrame:
+    """Edges (a, b) that connect the nodes(node, fp, near) within distance just as all their links would."""
+    return compared(nodes.withColumn("part", F.col("node")), distance, lambda group, rows: forest(group, unsigned(rows["fp"]), distance))
 
 
 def similar(edges: DataFrame, docs: DataFrame, size: int, least: float) -> DataFrame:
@@ -285,11 +330,37 @@ def similar(edges: DataFrame, docs: DataFrame, size: int, least: float) -> DataF
     return both.filter(shared >= F.lit(least) * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
 
-def grouped(prints: DataFrame, distance: int, near_distance: int = BITS, check=None) -> DataFrame:
-    """doc_id, fp, near, component_id of prints (SCHEMA); check: takes edges, returns those that count."""
+def checked_links(nodes: DataFrame, distance: int, near_distance: int, check) -> DataFrame:
+    """Edges (a, b) that connect the nodes(node, fp, near) as all candidate pairs that check lets pass would.
+
+    Candidates are within distance bits of fp and near_distance bits of near; check takes edges and returns those that
+    count. Each round takes the nearest of every node's candidates in other components so far, PARTNERS of them, then
+    more, and in the end all; nodes without candidates left out of a round are done with it.
+    """
+    spark = nodes.sparkSession
+    edges = tried = spark.createDataFrame([], "a long, b long")
+    active = nodes.withColumn("part", F.col("node"))
+    for most in (*PARTNERS, 1 << 62):
+
+        def kernel(group, rows, most=most):
+            return nearest(group, unsigned(rows["fp"]), unsigned(rows["near"]), rows["part"].to_numpy(), distance, near_distance, most)
+
+        found = common.written(compared(active, distance, kernel), "candidates")
+        new = common.written(found.filter("a <> b").join(tried, ["a", "b"], "left_anti"), "tried")
+        edges = edges.unionByName(common.written(check(new), "links"))
+        tried = tried.unionByName(new)
+        left = found.filter("a = b").select(F.col("a").alias("node"))
+        if left.isEmpty():
+            break
+        parts = components.components(edges)
+        active = common.written(nodes.join(left, "node", "left_semi").join(parts, "node", "left").select("node", "fp", "near", F.coalesce("component", "node").alias("part")), "active")
+    return edges
+
+
+def grouped(prints: DataFrame, find) -> DataFrame:
+    """doc_id, fp, near, component_id of prints (SCHEMA); find: takes nodes(node, fp, near), returns edges."""
     nodes = common.written(prints.groupBy("fp", "near").agg(F.min("doc_id").alias("node")), "nodes")
-    edges = links(nodes.filter("node is not null"), distance, near_distance)
-    found = components.components(check(common.written(edges, "links")) if check else edges)
+    found = components.components(find(nodes.select("node", "fp", "near").filter("node is not null")))
     classes = nodes.join(found, "node", "left").select("fp", "near", F.coalesce("component", "node").alias("component_id"))
     return prints.join(common.written(classes, "classes"), ["fp", "near"])
 
@@ -302,14 +373,15 @@ def near_dedup(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFrame:
     none. Rows that repeat a doc_id are one document. An empty table gives an empty result; other columns are ignored.
     """
     prints = common.written(fingerprints(docs, size), "prints")
-    return grouped(prints, distance).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return grouped(prints, lambda nodes: links(nodes, distance)).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def similar_groups(docs: DataFrame, size: int = 5, least: float = 0.8, distance: int = 8, near_distance: int = 16) -> DataFrame:
+def similar_groups(docs: DataFrame, size: int = 5, least: float = 0.8, distance: int = 10, near_distance: int = 20) -> DataFrame:
     """doc_id, component_id of docs(doc_id, text) grouped by Jaccard similarity of word shingles.
 
-    Candidates are within distance bits over the sets of words and near_distance bits over shingles; of each bucket's
-    candidates a spanning forest is checked exactly. Rows without a doc_id are in no group. See near_dedup for the rest.
+    Candidates are within distance bits over the sets of words and near_distance bits over shingles. Every candidate
+    pair is checked exactly, but those of one component already. Rows without a doc_id are in no group. See near_dedup
+    for the rest.
     """
     prints = common.written(word_fingerprints(docs, size), "prints")
-    return grouped(prints, distance, near_distance, lambda e: similar(e, docs, size, least)).select("doc_id", "component_id")
+    return grouped(prints, lambda nodes: checked_links(nodes, distance, near_distance, lambda e: similar(e, docs, size, least))).select("doc_id", "component_id")

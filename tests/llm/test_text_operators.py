@@ -98,6 +98,29 @@ def test_similar_groups(docs):
     assert got[1] == got[2] == got[3] == 1 and got[13] == 13 and got[7] == got[8] == 7
 
 
+def test_checked_links_keep_what_all_candidates_would(spark, monkeypatch):
+    """Half of the near fingerprints fail the check; the others must connect just as all pairs would, in cut buckets too."""
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    monkeypatch.setattr(simhash, "PARTNERS", (1, 3))
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 3, dtype=np.uint64)
+    flip = lambda n: np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (2, n), dtype=np.uint64), axis=0)
+    fp, near = (np.repeat(base, 30) ^ flip(90) for _ in range(2))
+    nodes = spark.createDataFrame([(i, int(a.view(np.int64)), int(b.view(np.int64))) for i, (a, b) in enumerate(zip(fp, near, strict=True))], "node long, fp long, near long")
+    kind = rng.integers(0, 6, 90)
+    kinds = spark.createDataFrame([(i, int(k)) for i, k in enumerate(kind)], "n long, kind int")
+    same = lambda e: e.join(kinds.toDF("a", "ka"), "a").join(kinds.toDF("b", "kb"), "b").filter("ka = kb").select("a", "b")
+    label, truth = list(range(90)), list(range(90))
+    for a, b in simhash.checked_links(nodes, 6, 6, same).collect():
+        assert kind[a] == kind[b]
+        label = [min(label[a], label[b]) if x in (label[a], label[b]) else x for x in label]
+    for a in range(90):
+        for b in range(a):
+            if kind[a] == kind[b] and int(fp[a] ^ fp[b]).bit_count() <= 6 and int(near[a] ^ near[b]).bit_count() <= 6:
+                truth = [min(truth[a], truth[b]) if x in (truth[a], truth[b]) else x for x in truth]
+    assert label == truth and len(set(truth)) < 45
+
+
 def test_substring_dedup(docs, empty):
     texts = {}
     for a, t, *_ in ROWS:
