@@ -9,7 +9,9 @@ distance of t_i at most there. Fingerprints with equal probes are compared in nu
 A bucket never yields its links: it yields a spanning forest of them, at most one edge a row, and buckets of over
 BLOCK rows are cut into blocks whose pairs of blocks are separate groups. Equal fingerprints are one node throughout.
 Where a text check follows, a forest would lose links, as its own edges may fail; there each round yields the nearest
-candidates of each row that the links found before do not connect.
+candidates of each row that the links found before do not connect. A candidate is left out beforehand only where its
+shingle sets provably differ too much: with one parity bit a bucket of hashed shingles, two sets differ in at least as
+many shingles as their parities in bits.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from . import common, components, words
 
 BITS = 64
 BLOCK, CHUNK = 1024, 100_000
+#: Parity bits of a shingle set, as long columns.
+PARITY = [f"p{i}" for i in range(4)]
 #: Pairs that one step of a comparison holds, and the candidates of a node that the rounds before the last check.
 PAIRS, PARTNERS = 4_000_000, (4, 32, 256)
 #: Relative costs of a probe row (shuffled and sorted) and of a compared pair.
@@ -82,13 +86,14 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
 
 
 def word_fingerprints(docs: DataFrame, size: int = 5) -> DataFrame:
-    """SCHEMA of docs(doc_id, text): fp over the different words, near over shingles of size words."""
+    """SCHEMA of docs(doc_id, text): fp over the different words, near over shingles of size words; and of the set of
+    shingles a digest, its size n and PARITY."""
     common.arrow(docs.sparkSession)
 
     def run(batches):
         for b in batches:
             data, offs = words.column(b.column("text"))
-            fps, nears = [], []
+            fps, nears, sets = [], [], []
             for i, j in words.slices(offs):
                 part = words.LOWER[data[offs[i] : offs[j]]]
                 starts, ends, first = words.words(part, offs[i : j + 1] - offs[i])
@@ -98,11 +103,31 @@ def word_fingerprints(docs: DataFrame, size: int = 5) -> DataFrame:
                 once = np.ones(len(h), bool)
                 once[1:] = (h[order][1:] != h[order][:-1]) | (text[order][1:] != text[order][:-1])
                 fps.append(majority(h[order][once], np.searchsorted(text[order][once], np.arange(j - i + 1))))
-                nears.append(majority(*shingles(h, first, size)))
-            fp, near = (pa.array(np.concatenate([*x, np.zeros(0, np.uint64)]).view(np.int64)) for x in (fps, nears))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), fp, near], ["doc_id", "fp", "near"])
+                grams, at = shingles(h, first, size)
+                nears.append(majority(grams, at))
+                sets += [set_digest(np.unique(grams[at[k] : at[k + 1]])) for k in range(j - i)]
+            fp, near = (np.concatenate([*x, np.zeros(0, np.uint64)]) for x in (fps, nears))
+            columns = [fp, near, *np.array(sets, np.uint64).reshape(-1, 2 + len(PARITY)).T]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns)], ["doc_id", "fp", "near", "digest", "n", *PARITY])
 
-    return common.id_text(docs).mapInArrow(run, SCHEMA)
+    return common.id_text(docs).mapInArrow(run, SCHEMA + ", digest long, n long, " + ", ".join(f"{c} long" for c in PARITY))
+
+
+def set_digest(grams: np.ndarray) -> np.ndarray:
+    """Sum, number and parities of different hashes."""
+    odd = np.bincount((grams % np.uint64(BITS * len(PARITY))).astype(np.int64), minlength=BITS * len(PARITY)) & 1
+    return np.concatenate([[grams.sum(dtype=np.uint64), np.uint64(len(grams))], np.packbits(odd.astype(np.uint8)).view(np.uint64)])
+
+
+def similarity_bound(rows: pd.DataFrame, least: float):
+    """Takes row numbers i, j of rows(n, PARITY); False where the Jaccard similarity of the two sets is surely under least."""
+    n, parity = rows["n"].to_numpy(), rows[PARITY].to_numpy(np.int64).view(np.uint64)
+
+    def may(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        differ = np.bitwise_count(parity[i] ^ parity[j]).sum(1, dtype=np.int64)
+        return differ * (1 + least) <= (n[i] + n[j]) * (1 - least) * (1 + 1e-9)
+
+    return may
 
 
 def shingles(h: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -220,8 +245,8 @@ def forest(group: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray
     return np.array(left, np.int64), np.array(right, np.int64)
 
 
-def nearest(group: np.ndarray, fp: np.ndarray, near: np.ndarray, part: np.ndarray, distance: int, near_distance: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each row with its most nearest candidates in runs of equal group that are of another part.
+def nearest(group: np.ndarray, fp: np.ndarray, near: np.ndarray, part: np.ndarray, distance: int, near_distance: int, most: int, may=None) -> tuple[np.ndarray, np.ndarray]:
+    """Each row with its most nearest candidates in runs of equal group that are of another part and that may(i, j) allows.
 
     A row that has more is paired with itself besides, so a pair left out has both its rows marked.
     """
@@ -237,6 +262,7 @@ def nearest(group: np.ndarray, fp: np.ndarray, near: np.ndarray, part: np.ndarra
             j = i + off
             by, words_by = np.bitwise_count(near[i] ^ near[j]), np.bitwise_count(fp[i] ^ fp[j])
             ok = np.flatnonzero((words_by <= distance) & (by <= near_distance) & (part[i] != part[j]))
+            ok = ok[may(i[ok], j[ok])] if may else ok
             found.append(np.stack([i[ok], j[ok], by[ok].astype(np.int64) + words_by[ok]]))
             off += 1
         if found:
@@ -253,13 +279,13 @@ def nearest(group: np.ndarray, fp: np.ndarray, near: np.ndarray, part: np.ndarra
 
 
 def compared(nodes: DataFrame, distance: int, kernel) -> DataFrame:
-    """Pairs (a, b) of the nodes(node, fp, near, part) that kernel(group, rows) picks from buckets of equal probes.
+    """Pairs (a, b) of the nodes(node, fp, near, part, ...) that kernel(group, rows) picks from buckets of equal probes.
 
     Buckets of over BLOCK rows are cut into blocks, and each pair of blocks is a group of its own.
     """
     n, both = bit_statistics(nodes)
     masks = plan(n, both, distance)
-    row = ("node", "fp", "near", "part")
+    row = nodes.columns
     probes = nodes.withColumn("probe", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("bits")) for k, m in enumerate(masks)]))).select(*row, "probe.k", "probe.bits")
     hot = common.written(probes.groupBy("k", "bits").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > BLOCK).withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int")).drop("rows"), "hot")
     if hot.isEmpty():
@@ -330,11 +356,11 @@ def similar(edges: DataFrame, docs: DataFrame, size: int, least: float) -> DataF
     return both.filter(shared >= F.lit(least) * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
 
-def checked_links(nodes: DataFrame, distance: int, near_distance: int, check) -> DataFrame:
-    """Edges (a, b) that connect the nodes(node, fp, near) as all candidate pairs that check lets pass would.
+def checked_links(nodes: DataFrame, distance: int, near_distance: int, check, bound=None) -> DataFrame:
+    """Edges (a, b) that connect the nodes(node, fp, near, ...) as all candidate pairs that check lets pass would.
 
     Candidates are within distance bits of fp and near_distance bits of near; check takes edges and returns those that
-    count. Each round takes the nearest of every node's candidates in other components so far, PARTNERS of them, then
+    count; bound takes rows of nodes and returns a function of row numbers, False where check would surely fail. Each round takes the nearest of every node's candidates in other components so far, PARTNERS of them, then
     more, and in the end all; nodes without candidates left out of a round are done with it.
     """
     spark = nodes.sparkSession
@@ -343,7 +369,7 @@ def checked_links(nodes: DataFrame, distance: int, near_distance: int, check) ->
     for most in (*PARTNERS, 1 << 62):
 
         def kernel(group, rows, most=most):
-            return nearest(group, unsigned(rows["fp"]), unsigned(rows["near"]), rows["part"].to_numpy(), distance, near_distance, most)
+            return nearest(group, unsigned(rows["fp"]), unsigned(rows["near"]), rows["part"].to_numpy(), distance, near_distance, most, bound(rows) if bound else None)
 
         found = common.written(compared(active, distance, kernel), "candidates")
         new = common.written(found.filter("a <> b").join(tried, ["a", "b"], "left_anti"), "tried")
@@ -353,16 +379,17 @@ def checked_links(nodes: DataFrame, distance: int, near_distance: int, check) ->
         if left.isEmpty():
             break
         parts = components.components(edges)
-        active = common.written(nodes.join(left, "node", "left_semi").join(parts, "node", "left").select("node", "fp", "near", F.coalesce("component", "node").alias("part")), "active")
+        active = common.written(nodes.join(left, "node", "left_semi").join(parts, "node", "left").select(*nodes.columns, F.coalesce("component", "node").alias("part")), "active")
     return edges
 
 
-def grouped(prints: DataFrame, find) -> DataFrame:
-    """doc_id, fp, near, component_id of prints (SCHEMA); find: takes nodes(node, fp, near), returns edges."""
-    nodes = common.written(prints.groupBy("fp", "near").agg(F.min("doc_id").alias("node")), "nodes")
-    found = components.components(find(nodes.select("node", "fp", "near").filter("node is not null")))
-    classes = nodes.join(found, "node", "left").select("fp", "near", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(common.written(classes, "classes"), ["fp", "near"])
+def grouped(prints: DataFrame, find, keys: tuple[str, ...]) -> DataFrame:
+    """The keys, component_id and the rest of prints (SCHEMA and more); rows of equal keys are one node; find: takes
+    nodes(node and prints' columns but doc_id), returns edges."""
+    nodes = common.written(prints.groupBy(*[c for c in prints.columns if c != "doc_id"]).agg(F.min("doc_id").alias("node")), "nodes")
+    found = components.components(find(nodes.filter("node is not null")))
+    classes = nodes.join(found, "node", "left").select(*keys, F.coalesce("component", "node").alias("component_id"))
+    return prints.join(common.written(classes, "classes"), list(keys))
 
 
 def near_dedup(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFrame:
@@ -373,15 +400,17 @@ def near_dedup(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFrame:
     none. Rows that repeat a doc_id are one document. An empty table gives an empty result; other columns are ignored.
     """
     prints = common.written(fingerprints(docs, size), "prints")
-    return grouped(prints, lambda nodes: links(nodes, distance)).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return grouped(prints, lambda nodes: links(nodes, distance), ("fp", "near")).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def similar_groups(docs: DataFrame, size: int = 5, least: float = 0.8, distance: int = 10, near_distance: int = 20) -> DataFrame:
     """doc_id, component_id of docs(doc_id, text) grouped by Jaccard similarity of word shingles.
 
     Candidates are within distance bits over the sets of words and near_distance bits over shingles. Every candidate
-    pair is checked exactly, but those of one component already. Rows without a doc_id are in no group. See near_dedup
+    pair is checked exactly, but those of one component already and those whose parities rule it out. Texts of one set
+    of shingles (by digest) and equal fingerprints are one node. Rows without a doc_id are in no group. See near_dedup
     for the rest.
     """
     prints = common.written(word_fingerprints(docs, size), "prints")
-    return grouped(prints, lambda nodes: checked_links(nodes, distance, near_distance, lambda e: similar(e, docs, size, least))).select("doc_id", "component_id")
+    find = lambda nodes: checked_links(nodes.select("node", "fp", "near", "n", *PARITY), distance, near_distance, lambda e: similar(e, docs, size, least), lambda rows: similarity_bound(rows, least))
+    return grouped(prints, find, ("fp", "near", "digest")).select("doc_id", "component_id")

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -121,6 +122,23 @@ def test_checked_links_keep_what_all_candidates_would(spark, monkeypatch):
     assert label == truth and len(set(truth)) < 45
 
 
+def test_similarity_bound_loses_no_link():
+    rng = np.random.default_rng(3)
+    sets = []
+    for n in (0, 1, 5, 40, 300, 3000):
+        base = rng.integers(0, 2**63, n, dtype=np.uint64)
+        sets += [np.unique(np.concatenate([base[int(n * cut) :], rng.integers(0, 2**63, int(n * cut), dtype=np.uint64)])) for cut in (0, 0.05, 0.1, 0.11, 0.12, 0.2, 0.5, 1)]
+    digests = np.array([simhash.set_digest(s) for s in sets], np.uint64).view(np.int64)
+    may = simhash.similarity_bound(pd.DataFrame(digests, columns=["digest", "n", *simhash.PARITY]), 0.8)
+    ruled_out = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            shared, allowed = len(np.intersect1d(a, b)), may(np.array([i]), np.array([j]))[0]
+            assert allowed or shared < 0.8 * (len(a) + len(b) - shared)
+            ruled_out += not allowed
+    assert ruled_out > len(sets) ** 2 / 2
+
+
 def test_substring_dedup(docs, empty):
     texts = {}
     for a, t, *_ in ROWS:
