@@ -9,9 +9,13 @@ distance of t_i at most there. Fingerprints with equal probes are compared in nu
 A bucket never yields its links: it yields a spanning forest of them, at most one edge a row, and buckets of over
 BLOCK rows are cut into blocks whose pairs of blocks are separate groups. Equal fingerprints are one node throughout.
 Where a text check follows, a forest would lose links, as its own edges may fail; there each round yields the nearest
-candidates of each row that the links found before do not connect. A candidate is left out beforehand only where its
-shingle sets provably differ too much: with one parity bit a bucket of hashed shingles, two sets differ in at least as
-many shingles as their parities in bits.
+candidates of each row that the links found before do not connect.
+
+Groups by Jaccard similarity do without fingerprints: they take their candidates from a prefix filter, which loses no
+pair. In any one order of all shingles, two sets of similarity t share one of the first n - ceil(t n) + 1 of each. The
+order puts common shingles last; which ones are common is estimated, and matters for the cost only. A candidate is left
+out beforehand only where the sets provably differ too much: with one parity bit a bucket of hashed shingles, two sets
+differ in at least as many shingles as their parities in bits.
 """
 
 from __future__ import annotations
@@ -35,6 +39,10 @@ BLOCK, CHUNK = 1024, 100_000
 PARITY = [f"p{i}" for i in range(4)]
 #: Pairs that one step of a comparison holds, and the candidates of a node that the rounds before the last check.
 PAIRS, PARTNERS = 4_000_000, (4, 32, 256)
+#: The first round over sets compares rows up to so many places apart.
+REACH = 16
+#: Documents whose shingles are counted to find the common ones, the least count of these, and how many are kept.
+ORDER_DOCS, COMMON_COUNT, COMMON_KEPT = 50_000, 8, 500_000
 #: Relative costs of a probe row (shuffled and sorted) and of a compared pair.
 PROBE_COST, PAIR_COST = 2.0, 0.01
 SCHEMA = "doc_id long, fp long, near long"
@@ -85,32 +93,27 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
     return common.id_text(docs).mapInArrow(run, SCHEMA)
 
 
-def word_fingerprints(docs: DataFrame, size: int = 5) -> DataFrame:
-    """SCHEMA of docs(doc_id, text): fp over the different words, near over shingles of size words; and of the set of
-    shingles a digest, its size n and PARITY."""
+def shingle_sets(col: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """The different hashes of each text's shingles of size words, sorted."""
+    data, offs = words.column(col)
+    for i, j in words.slices(offs):
+        part = words.LOWER[data[offs[i] : offs[j]]]
+        starts, ends, first = words.words(part, offs[i : j + 1] - offs[i])
+        grams, at = shingles(words.word_hashes(part, starts, ends), first, size)
+        yield from (np.unique(grams[at[k] : at[k + 1]]) for k in range(j - i))
+
+
+def set_digests(docs: DataFrame, size: int = 5) -> DataFrame:
+    """doc_id of docs(doc_id, text) and, of its set of shingles of size words, a digest, its size n and PARITY."""
     common.arrow(docs.sparkSession)
 
     def run(batches):
         for b in batches:
-            data, offs = words.column(b.column("text"))
-            fps, nears, sets = [], [], []
-            for i, j in words.slices(offs):
-                part = words.LOWER[data[offs[i] : offs[j]]]
-                starts, ends, first = words.words(part, offs[i : j + 1] - offs[i])
-                h = words.word_hashes(part, starts, ends)
-                text = np.repeat(np.arange(j - i), np.diff(first))
-                order = np.lexsort((h, text))
-                once = np.ones(len(h), bool)
-                once[1:] = (h[order][1:] != h[order][:-1]) | (text[order][1:] != text[order][:-1])
-                fps.append(majority(h[order][once], np.searchsorted(text[order][once], np.arange(j - i + 1))))
-                grams, at = shingles(h, first, size)
-                nears.append(majority(grams, at))
-                sets += [set_digest(np.unique(grams[at[k] : at[k + 1]])) for k in range(j - i)]
-            fp, near = (np.concatenate([*x, np.zeros(0, np.uint64)]) for x in (fps, nears))
-            columns = [fp, near, *np.array(sets, np.uint64).reshape(-1, 2 + len(PARITY)).T]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns)], ["doc_id", "fp", "near", "digest", "n", *PARITY])
-
-    return common.id_text(docs).mapInArrow(run, SCHEMA + ", digest long, n long, " + ", ".join(f"{c} long" for c in PARITY))
+            sets = [set_digest(s) for s in shingle_sets(b.column("text"), size)]
+            columns = np.array(sets, np.uint64).reshape(-1, 2 + len(PARITY)).T
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns)], ["doc_id", "digest", "n", *PARITY])
+
+    return common.id_text(docs).mapInArrow(run, "doc_id long, digest long, n long, " + ", ".join(f"{c} long" for c in PARITY))
 
 
 def set_digest(grams: np.ndarray) -> np.ndarray:
@@ -124,7 +127,7 @@ def similarity_bound(rows: pd.DataFrame, least: float):
     n, parity = rows["n"].to_numpy(), rows[PARITY].to_numpy(np.int64).view(np.uint64)
 
     def may(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        differ = np.bitwise_count(parity[i] ^ parity[j]).sum(1, dtype=np.int64)
+        differ = np.maximum(np.bitwise_count(parity[i] ^ parity[j]).sum(1, dtype=np.int64), np.abs(n[i] - n[j]))
         return differ * (1 + least) <= (n[i] + n[j]) * (1 - least) * (1 + 1e-9)
 
     return may
@@ -245,26 +248,38 @@ def forest(group: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray
     return np.array(left, np.int64), np.array(right, np.int64)
 
 
-def nearest(group: np.ndarray, fp: np.ndarray, near: np.ndarray, part: np.ndarray, distance: int, near_distance: int, most: int, may=None) -> tuple[np.ndarray, np.ndarray]:
-    """Each row with its most nearest candidates in runs of equal group that are of another part and that may(i, j) allows.
+def nearest(group: np.ndarray, part: np.ndarray, judge, most: int, reach: int = 1 << 62) -> tuple[np.ndarray, np.ndarray]:
+    """Each row with its most nearest candidates in runs of equal group that are of another part; judge(i, j) gives the
+    positions of the row pairs that are candidates, and their distances. Only rows up to reach places apart are compared.
 
-    A row that has more is paired with itself besides, so a pair left out has both its rows marked.
+    A row that may have more is paired with itself besides, so a pair left out has both its rows marked.
     """
     lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    _, first, sizes = np.unique(group, return_index=True, return_counts=True)
-    bounds, pairs = np.append(first, len(group)), np.cumsum(sizes * (sizes - 1) // 2)
+    if not len(group):
+        return lefts[0], rights[0]
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    open_ = np.minimum.reduceat(part, first) < np.maximum.reduceat(part, first)  # groups of one part have no pairs left
+    sizes, first = np.diff(np.append(first, len(group)))[open_], first[open_]
+    pairs = np.cumsum(sizes * np.minimum((sizes - 1) / 2, reach))
     g = 0
     while g < len(sizes):
         until = max(g + 1, int(np.searchsorted(pairs, (pairs[g - 1] if g else 0) + PAIRS, "right")))
-        lo, hi = bounds[g], bounds[until]
-        ends, i, off, found = np.repeat(bounds[g + 1 : until + 1], sizes[g:until]), np.arange(lo, hi), 1, []
-        while len(i := i[i + off < ends[i - lo]]):
+        counts = sizes[g:until]
+        ends = np.repeat(first[g:until] + counts, counts)
+        rows = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first[g:until], counts)
+        i, off, found = rows, 1, []
+        while off <= reach and len(i):
+            inside = i + off < ends
+            i, ends = i[inside], ends[inside]
             j = i + off
-            by, words_by = np.bitwise_count(near[i] ^ near[j]), np.bitwise_count(fp[i] ^ fp[j])
-            ok = np.flatnonzero((words_by <= distance) & (by <= near_distance) & (part[i] != part[j]))
-            ok = ok[may(i[ok], j[ok])] if may else ok
-            found.append(np.stack([i[ok], j[ok], by[ok].astype(np.int64) + words_by[ok]]))
+            other = np.flatnonzero(part[i] != part[j])
+            ok, by = judge(i[other], j[other])
+            found.append(np.stack([i[other][ok], j[other][ok], by]))
             off += 1
+        if reach < 1 << 62:
+            wide = rows[np.repeat(counts > reach + 1, counts)]
+            lefts.append(wide)
+            rights.append(wide)
         if found:
             a, b, d = np.concatenate(found, axis=1)
             a, b, d = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([d, d])
@@ -279,23 +294,29 @@ def nearest(group: np.ndarray, fp: np.ndarray, near: np.ndarray, part: np.ndarra
 
 
 def compared(nodes: DataFrame, distance: int, kernel) -> DataFrame:
-    """Pairs (a, b) of the nodes(node, fp, near, part, ...) that kernel(group, rows) picks from buckets of equal probes.
-
-    Buckets of over BLOCK rows are cut into blocks, and each pair of blocks is a group of its own.
-    """
+    """Pairs (a, b) of the nodes(node, fp, near, part, ...) that kernel(group, rows) picks from buckets of equal probes."""
     n, both = bit_statistics(nodes)
     masks = plan(n, both, distance)
     row = nodes.columns
     probes = nodes.withColumn("probe", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("bits")) for k, m in enumerate(masks)]))).select(*row, "probe.k", "probe.bits")
+    return picked(probes, row, ["fp", "near"], kernel)
+
+
+def picked(probes: DataFrame, row: list[str], order: list[str], kernel) -> DataFrame:
+    """Pairs (a, b) of the probes(k, bits and the columns row, node among them) that kernel(group, rows) picks from
+    buckets of equal k and bits; order: the columns of row that decide its place in a bucket.
+
+    Buckets of over BLOCK rows are cut into blocks, and each pair of blocks is a group of its own.
+    """
     hot = common.written(probes.groupBy("k", "bits").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > BLOCK).withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int")).drop("rows"), "hot")
     if hot.isEmpty():
         placed = probes.withColumns({"x": F.lit(0), "y": F.lit(0)})
     else:
-        b = F.pmod(F.xxhash64("fp", "near"), F.col("blocks")).cast("int")
+        b = F.pmod(F.xxhash64(*order), F.col("blocks")).cast("int")
         others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("b"))
         placed = probes.join(hot, ["k", "bits"], "left").withColumn("b", b).withColumn("o", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(others)))
         placed = placed.withColumns({"x": F.when(F.col("b").isNull(), 0).otherwise(F.least("b", "o")), "y": F.when(F.col("b").isNull(), 0).otherwise(F.greatest("b", "o"))})
-    placed = placed.select(*row, "k", "bits", "x", "y").repartition("k", "bits", "x", "y").sortWithinPartitions("k", "bits", "x", "y", "near")
+    placed = placed.select(*row, "k", "bits", "x", "y").repartition("k", "bits", "x", "y").sortWithinPartitions("k", "bits", "x", "y", *reversed(order))
 
     def run(batches: Iterator[pd.DataFrame]):
         held: list[pd.DataFrame] = []
@@ -309,7 +330,8 @@ def compared(nodes: DataFrame, distance: int, kernel) -> DataFrame:
             upto = len(all_rows) if final else int(np.searchsorted(group, group[-1]))
             a, b = kernel(group[:upto], all_rows.iloc[:upto])
             ids = all_rows["node"].to_numpy()
-            return pd.DataFrame({"a": ids[a], "b": ids[b]}), all_rows.iloc[upto:]
+            pairs = np.unique(np.sort(np.stack([ids[a], ids[b]], 1), axis=1), axis=0)
+            return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]}), all_rows.iloc[upto:]
 
         for b in batches:
             held.append(b)
@@ -340,13 +362,7 @@ def similar(edges: DataFrame, docs: DataFrame, size: int, least: float) -> DataF
 
     def run(batches):
         for b in batches:
-            data, offs = words.column(b.column("text"))
-            sets = []
-            for i, j in words.slices(offs):
-                part = words.LOWER[data[offs[i] : offs[j]]]
-                starts, ends, first = words.words(part, offs[i : j + 1] - offs[i])
-                grams, at = shingles(words.word_hashes(part, starts, ends), first, size)
-                sets += [np.unique(grams[at[k] : at[k + 1]]).view(np.int64) for k in range(j - i)]
+            sets = [x.view(np.int64) for x in shingle_sets(b.column("text"), size)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["node", "s"])
 
     texts = common.id_text(docs).join(ids, "doc_id", "left_semi")
@@ -356,22 +372,38 @@ def similar(edges: DataFrame, docs: DataFrame, size: int, least: float) -> DataF
     return both.filter(shared >= F.lit(least) * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
 
-def checked_links(nodes: DataFrame, distance: int, near_distance: int, check, bound=None) -> DataFrame:
-    """Edges (a, b) that connect the nodes(node, fp, near, ...) as all candidate pairs that check lets pass would.
+def checked_links(nodes: DataFrame, distance: int, near_distance: int, check) -> DataFrame:
+    """Edges (a, b) that connect the nodes(node, fp, near) as all pairs that check lets pass of those within distance
+    bits of fp and near_distance bits of near would."""
+
+    def candidates(active: DataFrame, most: int, reach: int) -> DataFrame:
+        def kernel(group, rows):
+            fp, near = unsigned(rows["fp"]), unsigned(rows["near"])
+
+            def judge(i, j):
+                by, words_by = np.bitwise_count(near[i] ^ near[j]), np.bitwise_count(fp[i] ^ fp[j])
+                ok = np.flatnonzero((words_by <= distance) & (by <= near_distance))
+                return ok, by[ok].astype(np.int64) + words_by[ok]
+
+            return nearest(group, rows["part"].to_numpy(), judge, most, reach)
+
+        return compared(active, distance, kernel)
 
-    Candidates are within distance bits of fp and near_distance bits of near; check takes edges and returns those that
-    count; bound takes rows of nodes and returns a function of row numbers, False where check would surely fail. Each round takes the nearest of every node's candidates in other components so far, PARTNERS of them, then
-    more, and in the end all; nodes without candidates left out of a round are done with it.
+    return rounds(nodes, candidates, check, ((m, 1 << 62) for m in (*PARTNERS, 1 << 62)))
+
+
+def rounds(nodes: DataFrame, candidates, check, steps) -> DataFrame:
+    """Edges (a, b) that connect the nodes(node, ...) as all candidate pairs that check lets pass would.
+
+    candidates takes nodes with their part, and most and reach of nearest; check takes edges and returns those that
+    count. Each of the steps(most, reach) takes the nearest of every node's candidates in other components so far, the
+    last one has to take all; nodes without candidates left out of a round are done with it.
     """
     spark = nodes.sparkSession
     edges = tried = spark.createDataFrame([], "a long, b long")
     active = nodes.withColumn("part", F.col("node"))
-    for most in (*PARTNERS, 1 << 62):
-
-        def kernel(group, rows, most=most):
-            return nearest(group, unsigned(rows["fp"]), unsigned(rows["near"]), rows["part"].to_numpy(), distance, near_distance, most, bound(rows) if bound else None)
-
-        found = common.written(compared(active, distance, kernel), "candidates")
+    for most, reach in steps:
+        found = common.written(candidates(active, most, reach), "candidates")
         new = common.written(found.filter("a <> b").join(tried, ["a", "b"], "left_anti"), "tried")
         edges = edges.unionByName(common.written(check(new), "links"))
         tried = tried.unionByName(new)
@@ -383,6 +415,71 @@ def checked_links(nodes: DataFrame, distance: int, near_distance: int, check, bo
     return edges
 
 
+def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
+    """Hashes of frequent shingles by falling frequency, from about ORDER_DOCS documents drawn by a hash of the text."""
+    share = min(1.0, ORDER_DOCS / max(docs.count(), 1))
+    drawn = docs.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+
+    def run(batches):
+        for b in batches:
+            sets = [s for s in shingle_sets(b.column("text"), size) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))], ["bits"])
+
+    counts = drawn.select("text").mapInArrow(run, "bits long").groupBy("bits").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= COMMON_COUNT)
+    top = counts.orderBy(F.desc("c"), "bits").limit(COMMON_KEPT).select("bits").toPandas()
+    return top["bits"].to_numpy(np.int64).view(np.uint64)
+
+
+def prefix(s: np.ndarray, known: np.ndarray, rank: np.ndarray, least: float) -> np.ndarray:
+    """The first n - ceil(least n) + 1 of the different hashes s in an order of all hashes: those not known (sorted)
+    first, then by falling rank."""
+    if not len(s):
+        return s
+    order = np.full(len(s), len(known))
+    if len(known):
+        at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+        order = np.where(known[at] == s, rank[at], order)
+    return s[np.lexsort((s, -order))][: len(s) - math.ceil(least * len(s) - 1e-9) + 1]
+
+
+def prefixes(docs: DataFrame, size: int, least: float) -> DataFrame:
+    """node, bits: every document of docs(doc_id, text) with each hash of its prefix."""
+    top = common_shingles(docs, size)
+    by = np.argsort(top)
+    sent = docs.sparkSession.sparkContext.broadcast((top[by], by))
+
+    def run(batches):
+        known, rank = sent.value
+        for b in batches:
+            found = [prefix(s, known, rank, least) for s in shingle_sets(b.column("text"), size)]
+            ids = b.column("doc_id").take(pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found])))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64))], ["node", "bits"])
+
+    return docs.mapInArrow(run, "node long, bits long")
+
+
+def set_links(nodes: DataFrame, docs: DataFrame, size: int, least: float) -> DataFrame:
+    """Edges (a, b) that connect the nodes(node, digest, n, PARITY) as all pairs of similarity least or more would."""
+    probes = common.written(prefixes(common.id_text(docs), size, least), "prefixes")
+    shared = probes.groupBy("bits").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bits")
+    probes = common.written(probes.join(shared, "bits", "left_semi"), "shared")
+
+    def candidates(active: DataFrame, most: int, reach: int) -> DataFrame:
+        def kernel(group, rows):
+            may, parity = similarity_bound(rows, least), rows[PARITY].to_numpy(np.int64).view(np.uint64)
+
+            def judge(i, j):
+                ok = np.flatnonzero(may(i, j))
+                return ok, np.bitwise_count(parity[i[ok]] ^ parity[j[ok]]).sum(1, dtype=np.int64)
+
+            return nearest(group, rows["part"].to_numpy(), judge, most, reach)
+
+        return picked(probes.join(active, "node").withColumn("k", F.lit(0)), active.columns, ["digest", "n"], kernel)
+
+    steps = ((PARTNERS[0], REACH), *((m, 1 << 62) for m in (*PARTNERS, 1 << 62)))
+    return rounds(nodes, candidates, lambda e: similar(e, docs, size, least), steps)
+
+
 def grouped(prints: DataFrame, find, keys: tuple[str, ...]) -> DataFrame:
     """The keys, component_id and the rest of prints (SCHEMA and more); rows of equal keys are one node; find: takes
     nodes(node and prints' columns but doc_id), returns edges."""
@@ -403,14 +500,12 @@ def near_dedup(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFrame:
     return grouped(prints, lambda nodes: links(nodes, distance), ("fp", "near")).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def similar_groups(docs: DataFrame, size: int = 5, least: float = 0.8, distance: int = 10, near_distance: int = 20) -> DataFrame:
-    """doc_id, component_id of docs(doc_id, text) grouped by Jaccard similarity of word shingles.
+def similar_groups(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
+    """doc_id, component_id of docs(doc_id, text) grouped by Jaccard similarity of their sets of word shingles.
 
-    Candidates are within distance bits over the sets of words and near_distance bits over shingles. Every candidate
-    pair is checked exactly, but those of one component already and those whose parities rule it out. Texts of one set
-    of shingles (by digest) and equal fingerprints are one node. Rows without a doc_id are in no group. See near_dedup
-    for the rest.
+    A prefix filter gives all pairs of similarity least or more as candidates. Every candidate pair is checked exactly,
+    but those of one component already and those whose sizes or parities rule it out. Texts of one set of shingles (by
+    digest and size) are one node. Rows without a doc_id are in no group. See near_dedup for the rest.
     """
-    prints = common.written(word_fingerprints(docs, size), "prints")
-    find = lambda nodes: checked_links(nodes.select("node", "fp", "near", "n", *PARITY), distance, near_distance, lambda e: similar(e, docs, size, least), lambda rows: similarity_bound(rows, least))
-    return grouped(prints, find, ("fp", "near", "digest")).select("doc_id", "component_id")
+    prints = common.written(set_digests(docs, size), "prints")
+    return grouped(prints, lambda nodes: set_links(nodes, docs, size, least), ("digest", "n")).select("doc_id", "component_id")

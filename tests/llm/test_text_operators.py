@@ -99,6 +99,38 @@ def test_similar_groups(docs):
     assert got[1] == got[2] == got[3] == 1 and got[13] == 13 and got[7] == got[8] == 7
 
 
+def brute_groups(texts):
+    """Smallest id of each group by exact Jaccard similarity of five-word shingles; also the least similarity of a link."""
+    sets, label = {}, {i: i for i in texts}
+    for i, t in texts.items():
+        w = WORD.findall(lower(t))
+        sets[i] = {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    for a in sets:
+        for b in sets:
+            shared = len(sets[a] & sets[b])
+            if a < b and sets[a] and shared >= 0.8 * (len(sets[a]) + len(sets[b]) - shared):
+                lo, hi = sorted((label[a], label[b]))
+                label = {i: lo if x == hi else x for i, x in label.items()}
+    return label
+
+
+def test_similar_groups_find_appended_and_cut_copies(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    monkeypatch.setattr(simhash, "COMMON_COUNT", 3)
+    rng = np.random.default_rng(7)
+    make = lambda n: [f"w{x}" for x in rng.zipf(1.3, n) % 4000]
+    texts, line = {}, make(12)
+    for i in range(60):
+        base = line + make(int(rng.integers(60, 400)))
+        more = make(int(len(base) * (0.05, 0.12, 0.2)[i % 3]))
+        texts[4 * i] = " ".join(base)
+        texts[4 * i + 1] = " ".join(base + more)
+        texts[4 * i + 2] = " ".join(base[: -len(more)])
+        texts[4 * i + 3] = " ".join(more + base)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == brute_groups(texts)
+
+
 def test_checked_links_keep_what_all_candidates_would(spark, monkeypatch):
     """Half of the near fingerprints fail the check; the others must connect just as all pairs would, in cut buckets too."""
     monkeypatch.setattr(simhash, "BLOCK", 16)
