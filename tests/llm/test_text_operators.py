@@ -131,6 +131,18 @@ def test_similar_groups_find_appended_and_cut_copies(spark, monkeypatch):
     assert got == brute_groups(texts)
 
 
+def test_similar_groups_count_repeated_shingles_once(spark):
+    rng = np.random.default_rng(8)
+    texts = {}
+    for i in range(40):
+        w = [f"w{x}" for x in rng.integers(0, 3000, int(rng.integers(80, 300)))]
+        at = int(rng.integers(0, len(w) - 10))
+        texts[2 * i], texts[2 * i + 1] = " ".join(w), " ".join(w + w[at : at + 10] * (8, 12, 20, 40)[i % 4])
+    texts[1000], texts[1001] = "a b c d e " * 30, "a b c d e " * 90  # one set of shingles
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == brute_groups(texts) and got[1001] == 1000
+
+
 def test_checked_links_keep_what_all_candidates_would(spark, monkeypatch):
     """Half of the near fingerprints fail the check; the others must connect just as all pairs would, in cut buckets too."""
     monkeypatch.setattr(simhash, "BLOCK", 16)
