@@ -11,33 +11,60 @@ from bandloom.llm import common, decontamination, exact_dedup, langid, mixing, s
 MIN_LANGUAGE_SCORE = 0.35
 
 
+def odd_ids(docs: DataFrame) -> DataFrame:
+    """odd: the doc_ids that more than one row of docs has, and null if a row has it."""
+    return common.written(docs.groupBy(F.col("doc_id").alias("odd")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or odd is null").select("odd"), "odd")
+
+
+def by_row(docs: DataFrame, keep) -> DataFrame:
+    """The rows of docs, all columns, that keep(docs) keeps by doc_id, decided for each row.
+
+    Rows whose doc_id is null or not theirs alone take keys under the least doc_id meanwhile.
+    """
+    ids = odd_ids(docs)
+    if ids.isEmpty():
+        return keep(docs)
+    on = F.expr("doc_id <=> odd")
+    least = F.coalesce(F.least(F.min("doc_id"), F.lit(0)), F.lit(0)).cast("long")
+    first = docs.agg(least.alias("v")).first()["v"]
+    own = docs.join(ids, on, "left_anti").withColumn("_id", F.col("doc_id"))
+    others = docs.join(ids, on, "left_semi").withColumn("_id", F.lit(first) - 1 - F.monotonically_increasing_id())
+    keyed = common.written(own.unionByName(others), "keyed")
+    found = keep(keyed.drop("doc_id").withColumnRenamed("_id", "doc_id")).select(F.col("doc_id").alias("_kept"))
+    return keyed.join(found, F.expr("_id = _kept"), "left_semi").select(docs.columns)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter, null or empty, and those whose best language scores under the minimum."""
-    found = langid.predict(docs, langid.fit(docs.filter(~langid.held_out())))
-    return common.keep_rows(docs, found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)))
+    model = langid.fit(docs.filter(~langid.held_out()))
+    passed = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    return by_row(docs, lambda d: common.keep_rows(d, langid.predict(d, model).filter(passed)))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays; of rows that repeat a doc_id, one."""
-    kept = common.keep_rows(docs, exact_dedup.exact_dedup(docs).filter("kept"))
-    repeated = common.written(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return kept
-    on = F.expr("doc_id <=> _id")
-    ids = repeated.withColumnRenamed("doc_id", "_id")
-    return kept.join(ids, on, "left_anti").unionByName(kept.join(ids, on, "left_semi").dropDuplicates(["doc_id"]))
+    """Of equal texts one row stays, of those with the largest doc_id; rows of different texts all do, whatever their ids."""
+    found = exact_dedup.exact_dedup(docs).filter("kept")
+    ids = odd_ids(docs)
+    if ids.isEmpty():
+        return common.keep_rows(docs, found)
+    on = F.expr("doc_id <=> odd")
+    plain = common.keep_rows(docs.join(ids, on, "left_anti"), found)
+    texts = found.join(ids, on, "left_semi").select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha")).distinct()
+    rows = docs.join(ids, on, "left_semi").withColumn("_text", exact_dedup.sha(F.coalesce("text", F.lit(""))))
+    rest = rows.join(texts, F.expr("doc_id <=> _keep and _text = _sha"), "left_semi").dropDuplicates(["doc_id", "_text"])
+    return plain.unionByName(rest.select(docs.columns))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8) the smallest doc_id stays."""
-    groups = simhash.similar_groups(docs)
-    return common.keep_rows(docs, groups.filter("doc_id <=> component_id"))
+    """Of each group of near copies (five-word shingles, similarity 0.8) the smallest doc_id stays; rows without a
+    doc_id of their own count as smaller than any."""
+    return by_row(docs, lambda d: common.keep_rows(d, simhash.similar_groups(d).filter("doc_id <=> component_id")))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that hold a benchmark item."""
-    found = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return common.keep_rows(docs, found.filter("not contaminated"))
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return by_row(docs, lambda d: common.keep_rows(d, decontamination.decontaminate(d, items).filter("not contaminated")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

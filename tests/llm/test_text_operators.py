@@ -381,5 +381,25 @@ def test_pipeline_stages(spark, docs, tmp_path):
     assert out.count() == len(kept["decontamination"])
 
 
+def test_stages_keep_rows_whose_ids_are_null_or_repeated(spark, tmp_path):
+    import corpus_pipeline
+
+    sf = str(tmp_path)
+    text = lambda i: " ".join(f"item{i}x{k}" for k in range(30))
+    spark.createDataFrame([(1, text(1))], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    rows = [(None, text(i)) for i in (1, 2, 3)] + [(5, text(i)) for i in (4, 5, 5)] + [(6, text(3)), (7, text(1) + " end"), (8, text(8)), (None, text(9)), (None, text(9))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{sf}/documents.parquet")
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    got = lambda out: sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    kept = corpus_pipeline.exact(spark, d, sf)
+    once = [(None, text(1)), (None, text(2)), (5, text(4)), (5, text(5)), (6, text(3)), (7, text(1) + " end"), (8, text(8)), (None, text(9))]
+    assert got(kept) == sorted(once, key=str)
+    kept.write.parquet(f"{sf}/exact")
+    kept = spark.read.parquet(f"{sf}/exact")
+    near = [r for r in once if r[0] != 7]  # the row without an id is the smaller one
+    assert got(corpus_pipeline.near(spark, kept, sf)) == sorted(near, key=str)
+    assert got(corpus_pipeline.clean(spark, kept, sf)) == sorted((r for r in once if text(1) not in r[1]), key=str)
+
+
 def test_every_query_is_registered():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
