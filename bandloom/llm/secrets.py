@@ -20,9 +20,10 @@ KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # the maximal runs of 32 or more
-#: A credential name, a separator, a value; or the password of a URL.
+#: A credential name, a separator, a value: to the closing quote of its line, else to white space but for marks at the
+#: end; or the password of a URL, to the last @ of its authority.
 CONTEXT = re.compile(
-    r"""(?:(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth(?:orization)?|bearer|(?:api|access|private|signing|encryption|client)[_ -]?(?:key|secret))["']?\x20*(?::=|=>|[:=])\x20*(?:bearer\x20+)?["']?|[a-z][a-z0-9+.-]*://[^\s:/@]{1,64}:(?=[^\s@/]{1,128}@))([^\s"'<>,;@]{6,256})""",
+    r"""(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth(?:orization)?|bearer|(?:api|access|private|signing|encryption|client)[_ -]?(?:key|secret))["']?\x20*(?::=|=>|[:=])\x20*(?:bearer\x20+)?(?:"((?:\\.|[^"\\\r\n])+)"|'((?:\\.|[^'\\\r\n])+)'|["']?(\S*[^\s"'<>,;]))|(?<=[a-z0-9+.-])://[^\s:/@]*:([^\s/]+)(?=@)""",
     re.I | re.A,
 )
 ASSIGN_GATE = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -49,7 +50,10 @@ NEXT = {(a, b) for row in ROWS for a, b in zip(row, row[1:], strict=False)} | {(
 NEXT |= {(b, a) for a, b in NEXT}
 DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0?[1-9]|[12]\d|3[01])[-/.]?(?:0?[1-9]|1[0-2])[-/.]?(?:19|20)\d\d")
 DATE_GUESSES = math.log10(365 * 130)
-FACTORIAL = [math.lgamma(k + 1) / math.log(10) for k in range(260)]
+MOST_PARTS = 12
+FACTORIAL = [math.lgamma(k + 1) / math.log(10) for k in range(MOST_PARTS + 1)]
+#: In longer values a run of repeats or of a walk is cut at one of its two ends only, which keeps the parts linear.
+ALL_CUTS = 256
 
 
 def alphabet(c: str) -> int:
@@ -62,6 +66,14 @@ def log_guesses(value: str) -> float:
     n, low = len(value), value.lower()
     plain = low.translate(LEET)
     parts: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]  # by end: start, cost
+    # how far from each place a walk goes on, and how many characters equal those 1 to 4 places later
+    walk = [0] * (n + 1)
+    same = [[0] * (n + 1) for _ in range(5)]
+    for i in range(n - 2, -1, -1):
+        walk[i] = walk[i + 1] + 1 if (low[i], low[i + 1]) in NEXT else 0
+        for size in (1, 2, 3, 4):
+            if i + size < n and value[i] == value[i + size]:
+                same[size][i] = same[size][i + 1] + 1
     for i in range(n):
         for j in range(i + 3, min(n, i + LONGEST) + 1):
             rank = RANK.get(low[i:j])
@@ -72,22 +84,21 @@ def log_guesses(value: str) -> float:
         for m in (DATE.match(value, i),):
             if m:
                 parts[m.end()].append((i, DATE_GUESSES))
-        j = i + 1
-        while j < n and (low[j - 1], low[j]) in NEXT:
-            j += 1
-            if j - i >= 3:
-                parts[j].append((i, math.log10(47 * 4 * (j - i))))
+        ends = range(i + 3, i + walk[i] + 2)
+        for j in ends if n <= ALL_CUTS or not i or not walk[i - 1] else ends[-1:]:
+            parts[j].append((i, math.log10(47 * 4 * (j - i))))
         for size in (1, 2, 3, 4):
-            j, unit = i + size, value[i : i + size]
-            while len(unit) == size and value.startswith(unit, j):
-                j += size
-                if j - i >= 3:
-                    parts[j].append((i, sum(math.log10(alphabet(c)) for c in unit) + math.log10((j - i) / size)))
+            if same[size][i] >= size:
+                ends = range(i + 2 * size, i + size + same[size][i] + 1, size)
+                unit = sum(math.log10(alphabet(c)) for c in value[i : i + size])
+                for j in ends if n <= ALL_CUTS or not i or not same[size][i - 1] else ends[-1:]:
+                    if j - i >= 3:
+                        parts[j].append((i, unit + math.log10((j - i) / size)))
     # best[j][k]: least cost of value[:j] in k parts; brute-force spans extend from any start
     digits = [0.0]
     for c in value:
         digits.append(digits[-1] + math.log10(alphabet(c)))
-    most = min(n, 12)
+    most = min(n, MOST_PARTS)
     best = [[math.inf] * (most + 1) for _ in range(n + 1)]
     best[0][0] = 0.0
     brute = [math.inf] * (most + 1)  # by parts before the span: least cost minus digits up to its start
@@ -105,12 +116,12 @@ def scan(text: str) -> list[tuple[str, int, int, float]]:
     """Spans (kind, start, end, log10 guesses or 0) by start, then kind as in KINDS; code points, end exclusive."""
     raw, found = text.encode("utf-8", "surrogatepass").lower(), []
     if any(g in raw for g in ASSIGN_GATE):
-        found += [("assign", *m.span(), log_guesses(m[2][:256])) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+        found += [("assign", *m.span(), log_guesses(m[2])) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     if "AKIA" in text:
         found += [("access", *m.span(), 0.0) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     found += [("hex", *m.span(), 0.0) for m in HEX.finditer(text)]
     if SEPARATED.search(raw) and any(g in raw for g in CONTEXT_GATE):
-        found += [("guess", *m.span(1), cost) for m in CONTEXT.finditer(text) if (cost := log_guesses(m[1])) >= MIN_GUESSES]
+        found += [("guess", *m.span(m.lastindex), cost) for m in CONTEXT.finditer(text) if (cost := log_guesses(m[m.lastindex])) >= MIN_GUESSES]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

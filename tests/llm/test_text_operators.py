@@ -243,6 +243,18 @@ def test_secrets(docs, empty):
     assert secrets.log_guesses("aaaaaaaa") < 3 and secrets.log_guesses("2019-05-07") < 6
 
 
+def test_secret_values_are_whole():
+    def guesses(text):
+        return [text[a:b] for kind, a, b, _ in secrets.scan(text) if kind == "guess"]
+
+    long = "".join("kX7mQ2vZ9pLr4TnB"[i * i % 16] + "aB3"[i % 3] for i in range(300))
+    assert guesses(f"Authorization: Bearer {long} rest") == [long]
+    assert guesses("password: Xk@92,vQz!71Lp, next") == ["Xk@92,vQz!71Lp"]
+    assert guesses('"passphrase": "correct zebra battery staple", "user": "x"') == ["correct zebra battery staple"]
+    assert guesses(f"see https://{'u' * 90}:{long}@host/path") == [long] and guesses("redis://:Xk@92vQz!71Lp@host") == ["Xk@92vQz!71Lp"]
+    assert secrets.log_guesses("a" * 20000) < 10 and secrets.log_guesses("as" * 10000) < 10
+
+
 def test_guess_cost_is_least(spark):
     """The dynamic programme never costs more than brute force over the whole value, nor than a word with a rest."""
     for value in ("dragonXk7", "Summer2021!", "asdfgh", "zzzzQ1"):
