@@ -355,6 +355,19 @@ def test_decontamination(spark, docs, empty):
     assert again == {1000 + i for i in range(10)}
 
 
+def test_short_items_are_found_inside_documents(spark):
+    rng = np.random.default_rng(11)
+    prose = [f"p{i}" for i in range(2000)]
+    items = [(i, " ".join(f"q{i}x{k}" if k % 2 else prose[(7 * i + k) % 2000] for k in range(n))) for i, n in enumerate([1, 2, 3, 4, 5, 6, 8, 10, 12, 15] * 4)]
+    rows = [(i, " ".join([*rng.choice(prose, 90 + i % 4), t, *rng.choice(prose, 90)])) for i, t in items if len(t.split()) > 1]
+    words_of = items[9][1].split()
+    rows.append((500, " ".join([*rng.choice(prose, 91), *words_of[:5], "other", *words_of[6:], *rng.choice(prose, 90)])))  # a paraphrase
+    rows += [(1000 + i, " ".join(rng.choice(prose, 190))) for i in range(50)]
+    d, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items[1:], "item_id long, text string").filter(F.size(F.split("text", " ")) > 1)
+    got = {r["doc_id"] for r in decontamination.decontaminate(d, b).collect() if r["contaminated"]}
+    assert got == {r[0] for r in rows if r[0] < 1000}
+
+
 def test_common_subsequence():
     def plain(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
