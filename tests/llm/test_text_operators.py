@@ -368,6 +368,16 @@ def test_short_items_are_found_inside_documents(spark):
     assert got == {r[0] for r in rows if r[0] < 1000}
 
 
+def test_decontamination_blocks_keep_rows(spark, monkeypatch):
+    items = [(i, " ".join(f"item{i}x{k}" for k in range(20))) for i in range(12)]
+    rows = [(None, items[0][1]), (None, "nothing of it here"), (1, items[1][1] + " and " + items[2][1]), (1, "clean words only"), (2, "plain"), (2, "plain"), (3, None)]
+    d, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = lambda: sorted((str(r["doc_id"]), r["contaminated"], str(r["item_id"]), r["n_items"]) for r in decontamination.decontaminate(d, b).collect())
+    whole = got()
+    monkeypatch.setattr(decontamination, "ITEMS_BLOCK", 4)
+    assert len(whole) == len(rows) and got() == whole
+
+
 def test_common_subsequence():
     def plain(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
