@@ -50,8 +50,8 @@ LICENSES = (
     ("mpl-1.1", "mozilla", rf"mozilla public license{V}1 1", r"mpl ?1 1", r"mozilla org mpl (?:mpl )?1 1"),
     ("epl-2.0", "eclipse", rf"eclipse public license{V}2(?: 0)?", r"epl ?2(?: 0)?", r"eclipse org legal epl (?:v20|2 0)"),
     ("epl-1.0", "eclipse", rf"eclipse public license{V}1(?: 0)?", r"epl ?1(?: 0)?", r"eclipse org legal epl v10"),
-    ("cddl-1.0", "cddl", rf"common development and distribution license{V}1(?: 0)?", r"cddl ?1(?: 0)?", r"opensource org licenses cddl 1 0"),
-    ("cddl-1.1", "cddl", rf"common development and distribution license{V}1 1", r"cddl ?1 1", r"glassfish [a-z ]*cddl gplv2"),
+    ("cddl-1.0", "common development", rf"common development and distribution license{V}1(?: 0)?", r"cddl ?1(?: 0)?", r"opensource org licenses cddl 1 0"),
+    ("cddl-1.1", "common development", rf"common development and distribution license{V}1 1", r"cddl ?1 1", r"glassfish [a-z ]*cddl gplv2"),
     ("cc-by-4.0", "creative commons", rf"creative commons attribution{V}4 0(?: international)?", r"cc by 4 0", r"creativecommons org licenses by 4 0"),
     ("cc-by-3.0", "creative commons", rf"creative commons attribution{V}3 0(?: unported)?", r"cc by 3 0", r"creativecommons org licenses by 3 0"),
     ("cc-by-2.0", "creative commons", rf"creative commons attribution{V}2 0", r"cc by 2 0", r"creativecommons org licenses by 2 0"),
@@ -65,7 +65,7 @@ LICENSES = (
     ("cc-by-nc-nd-4.0", "creative commons", rf"creative commons attribution non ?commercial no ?deriv(?:ative)?s{V}4 0", r"cc by nc nd 4 0", r"creativecommons org licenses by nc nd 4 0"),
     ("cc0-1.0", "cc0", rf"cc0{V}1 0(?: universal)?", r"cc0(?: 1 0)?", r"creativecommons org publicdomain zero 1 0"),
     ("unlicense", "unlicense", r"the unlicense", r"unlicense", r"unlicense org"),
-    ("wtfpl", "wtf", r"do what the f[a-z]+ you want to public license", r"wtfpl", r"wtfpl net"),
+    ("wtfpl", "want to public", r"do what the f[a-z]+ you want to public license", r"wtfpl", r"wtfpl net"),
     ("zlib", "zlib", r"zlib(?: libpng)? license", r"zlib", r"zlib net zlib license"),
     ("bsl-1.0", "boost", rf"boost software license{V}1 0", r"bsl ?1 0", r"boost org license 1 0"),
     ("artistic-2.0", "artistic", rf"artistic license{V}2(?: 0)?", r"artistic 2 0", r"opensource org licenses artistic 2 0"),
@@ -109,7 +109,7 @@ SENTENCES = (
     ("zlib", "misrepresented", r"the origin of this software must not be misrepresented"),
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
     ("bsl-1.0", "machine executable", r"in the form of machine executable object code generated by a source language processor"),
-    ("cc0-1.0", "waived", r"(?:has|have) (?:waived|dedicated) all copyright and related or neighbou?ring rights"),
+    ("cc0-1.0", "all copyright", r"(?:has|have) (?:waived|dedicated) all copyright and related or neighbou?ring rights"),
     ("public-domain", "public domain", r"(?:released|dedicated|placed) (?:in|into|to) the public domain"),
     ("proprietary", "all rights reserved", r"all rights reserved"),
     ("proprietary", "confidential", r"(?:proprietary and confidential|confidential and proprietary)"),

@@ -273,6 +273,38 @@ def test_licenses(docs, empty):
     assert len(licenses.rules()) > 300 and licenses.licenses(empty).count() == 0
 
 
+def sample_match(parsed, rng):
+    """A random text that a parsed pattern matches, with optional parts now there, now not."""
+    out = []
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out.append(chr(arg))
+        elif op == "IN":
+            kind, x = arg[int(rng.integers(len(arg)))]
+            out.append(chr(x[0] if str(kind) == "RANGE" else x))
+        elif op == "BRANCH":
+            out.append(sample_match(arg[1][int(rng.integers(len(arg[1])))], rng))
+        elif op == "SUBPATTERN":
+            out.append(sample_match(arg[3], rng))
+        elif op == "MAX_REPEAT":
+            out += [sample_match(arg[2], rng) for _ in range(int(rng.integers(arg[0], min(arg[1], arg[0] + 2) + 1)))]
+        else:
+            assert op.startswith("ASSERT")
+    return "".join(out)
+
+
+def test_license_keywords_are_in_every_match():
+    rng = np.random.default_rng(4)
+    for rule in licenses.rules():
+        for _ in range(12):
+            text = b" " + sample_match(re._parser.parse(rule.pattern.pattern.decode()), rng).encode() + b" "
+            if rule.pattern.search(text):
+                assert rule.keyword in text and (rule.keyword != b" under" or licenses._REFERS.search(text)), (rule.label, text)
+    for text, label in (("Common Development and Distribution License version 1.0", "cddl-1.0"), ("do what the fuck you want to public license", "wtfpl"), ("has dedicated all copyright and related or neighboring rights", "cc0-1.0")):
+        assert label in licenses.scan(text)[5].split(",")
+
+
 def test_url_filter(spark):
     e = spark.createDataFrame([("bad.com", "x", "2024-01-10", True), ("bad.com", "x", "2024-02-10", False), ("good.org/ads", "y", "2024-01-01", True), ("a.bad.com", "z", "2024-03-01", True), (None, "x", "2024-01-01", True)], "list_key string, category string, day string, listed boolean")
     rows = [(1, "http://www.bad.com/q", "2024-01-09"), (2, "http://www.bad.com/q", "2024-01-10"), (3, "http://a.bad.com:80", "2024-02-10"), (4, "http://u@good.org/ads?x", "2024-05-05"), (5, "http://good.org/adsx", "2024-05-05"), (6, None, "2024-05-05"), (7, "http://a.bad.com/", "2024-03-02"), (8, "http://notbad.com/", "2024-01-20"), (9, "http://bad.com/", None)]
