@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common, components, words
@@ -460,9 +460,9 @@ def prefixes(docs: DataFrame, size: int, least: float) -> DataFrame:
 
 def set_links(nodes: DataFrame, docs: DataFrame, size: int, least: float) -> DataFrame:
     """Edges (a, b) that connect the nodes(node, digest, n, PARITY) as all pairs of similarity least or more would."""
-    probes = common.written(prefixes(common.id_text(docs), size, least), "prefixes")
-    shared = probes.groupBy("bits").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bits")
-    probes = common.written(probes.join(shared, "bits", "left_semi"), "shared")
+    # one shuffle; prefixes that a hash is alone in, most of them, are not written
+    rows = F.count(F.lit(1)).over(Window.partitionBy("bits"))
+    probes = common.written(prefixes(common.id_text(docs), size, least).withColumn("c", rows).filter("c > 1").drop("c"), "shared")
 
     def candidates(active: DataFrame, most: int, reach: int) -> DataFrame:
         def kernel(group, rows):
