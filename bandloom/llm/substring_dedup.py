@@ -10,8 +10,9 @@ windows, and runs of neighbouring windows share one anchor.
    counted once are dropped. The sketch is a table, wide in proportion to the anchors, so no task holds it and no size
    is ever too large to broadcast. Documents keep the anchors whose cells all remain; counts only overestimate, so no
    repeated window is lost.
-3. The windows of those anchors alone, in those documents alone, are grouped exactly, by two independent 64-bit hashes,
-   to find the smallest document that has each; windows that start in a smaller one mark their words.
+3. The windows of those anchors alone, in those documents alone, are grouped by anchor and a 64-bit hash of their words,
+   which only drops windows that no other document can have. The rest are grouped exactly, by the SHA-256 of their
+   words, to find the smallest document that has each; windows that start in a smaller one mark their words.
 """
 
 from __future__ import annotations
@@ -55,6 +56,13 @@ def sha(kept: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(kept)).hexdigest()
 
 
+def window_digests(w: list[bytes], starts: np.ndarray, window: int) -> list[bytes]:
+    """SHA-256 of the words, joined by one space, of each window of w that starts at one of starts."""
+    joined, ends = b" ".join(w), np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
+    first, last = ends[starts] - np.fromiter(map(len, w), np.int64, len(w))[starts], ends[starts + window - 1]
+    return [hashlib.sha256(joined[a:b]).digest() for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+
+
 def surveyed(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """doc_id, n_words, whole_sha256, anchors of every row."""
     schema = pa.list_(pa.int64())
@@ -129,9 +137,20 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a, w, d, s)], ["a", "w", "doc_id", "start"])
 
     found = texts.mapInArrow(windows, "a long, w long, doc_id long, start int")
-    groups = found.groupBy("a", "w").agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest")).filter("smallest < largest").select("a", "w", "smallest")
+    groups = found.groupBy("a", "w").agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest")).filter("smallest < largest").select("a", "w")
     groups = common.written(groups, "groups")
-    starts = found.join(groups, ["a", "w"]).filter("doc_id > smallest").groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
+    alike = common.written(found.join(groups, ["a", "w"]).groupBy("doc_id").agg(F.collect_set("start").alias("starts")), "alike")
+
+    def digests(batches):
+        for b in batches:
+            for text, i, begun in zip(b.column("text").to_pylist(), b.column("doc_id").to_pylist(), b.column("starts"), strict=True):
+                w, at = word_list(text), begun.values.to_numpy()
+                at = at[at <= len(w) - window]  # another text under the same doc_id may be longer
+                yield pa.RecordBatch.from_arrays([pa.array(window_digests(w, at, window), pa.binary()), pa.array(np.full(len(at), i)), pa.array(at)], ["digest", "doc_id", "start"])
+
+    rows = common.written(texts.select("doc_id", "text").join(alike, "doc_id").mapInArrow(digests, "digest binary, doc_id long, start int"), "digests")
+    same = rows.groupBy("digest").agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest")).filter("smallest < largest").select("digest", "smallest")
+    starts = rows.join(common.written(same, "same"), "digest").filter("doc_id > smallest").groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
     cut = texts.select("doc_id", "text").join(starts, "doc_id")
 
     def keep(batches):

@@ -1,7 +1,8 @@
 """Words of whole Arrow text columns as numpy arrays, without a Python object per word.
 
-A word is a maximal run of bytes outside 0x20 and 0x09-0x0D. Word hashes are polynomials of the bytes modulo 2^64,
-mixed to look random; hashes of word runs are polynomials of the word hashes.
+A word is a maximal run of bytes outside 0x20 and 0x09-0x0D. A word's hash is a sum of pseudo-random numbers, one for
+each of its bytes and places, so no pattern of bytes makes words collide; hashes of word runs are polynomials of the
+word hashes. They are hashes all the same: what is decided by them alone is said where it is.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 LOWER_BYTES = LOWER.tobytes()
-BYTE_BASE, WORD_BASE, WINDOW_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
+STEP, WORD_BASE, WINDOW_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 SLICE_BYTES = 2 << 20
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -85,8 +86,28 @@ def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: i
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def random_of(codes: np.ndarray) -> np.ndarray:
+    """A pseudo-random number for each code."""
+    return mix((codes.astype(np.uint64) + np.uint64(1)) * np.uint64(STEP))
+
+
+#: Numbers of the bytes at a word's first PLACES places, by place and byte.
+PLACES = 64
+NUMBERS = random_of(np.arange(PLACES << 8))
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return spans_hash(data, starts, ends, BYTE_BASE)
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    place = np.arange(starts[0], ends[-1]) - np.repeat(starts, np.diff(np.append(starts, ends[-1])))
+    code = place << 8 | data[starts[0] : ends[-1]]
+    sums = np.empty(len(code) + 1, np.uint64)
+    sums[0] = 0
+    numbers = NUMBERS.take(code, mode="clip")
+    far = np.flatnonzero(place >= PLACES)
+    numbers[far] = random_of(code[far])
+    np.cumsum(numbers, out=sums[1:])
+    return mix(sums[ends - starts[0]] - sums[starts - starts[0]] + (ends - starts).astype(np.uint64))
 
 
 def gram_hashes(hashes: np.ndarray, first: np.ndarray, n: int, base: int = WORD_BASE) -> tuple[np.ndarray, np.ndarray]:
