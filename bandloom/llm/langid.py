@@ -133,20 +133,22 @@ class Predictor:
 def fit(docs: DataFrame, max_docs_per_lang: int = 400, windows_per_doc: int = 6, seed: int = 5) -> Model | None:
     """A model from docs(text, lang), or None without labelled text.
 
-    Of each language about max_docs_per_lang texts are drawn by a hash of the text, equal texts once, and of each
-    windows_per_doc windows at even distances; this sample, bounded by the two parameters and the number of languages,
-    is all that comes to the driver.
+    Of each language about max_docs_per_lang different texts with a letter are drawn by a hash of the text, one at
+    least, and of each windows_per_doc windows at even distances and the one at its first letter; this sample, bounded
+    by the two parameters and the number of languages, is all that comes to the driver.
     """
-    labelled = docs.select("text", F.col("lang").cast("string").alias("lang")).filter("lang is not null and length(text) > 0")
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    draw = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(unit := 1 << 31))
+    labelled = docs.select("text", F.col("lang").cast("string").alias("lang"), draw.alias("draw")).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    # copies of a text count once, as they are drawn once
+    different = labelled.select("lang", "draw").distinct()
+    counts = {r["lang"]: (r["n"], r["least"]) for r in different.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("draw").alias("least")).collect()}
     if not counts:
         return None
-    unit = 1 << 31
-    limit = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(unit, int(unit * max_docs_per_lang / n) + 1))])
+    limit = F.create_map(*[F.lit(x) for k, (n, least) in sorted(counts.items()) for x in (k, max(least + 1, min(unit, int(unit * max_docs_per_lang / n) + 1)))])
     length = F.length("text")
     cuts = F.transform(F.sequence(F.lit(0), F.lit(windows_per_doc - 1)), lambda i: F.substring(F.col("text"), (F.floor(length * i / windows_per_doc) + 1).cast("int"), F.lit(WINDOW)))
-    draw = F.xxhash64("text", F.lit(seed))
-    sample = labelled.filter(F.pmod(draw, F.lit(unit)) < F.try_element_at(limit, F.col("lang"))).select("lang", draw.alias("draw"), F.array_distinct(cuts).alias("cuts")).dropDuplicates(["lang", "draw"]).collect()
+    letter = F.substring(F.col("text"), F.regexp_instr("text", F.lit(r"\p{L}")), F.lit(WINDOW))
+    sample = labelled.filter(F.col("draw") < F.try_element_at(limit, F.col("lang"))).select("lang", "draw", F.array_distinct(F.concat(cuts, F.array(letter))).alias("cuts")).dropDuplicates(["lang", "draw"]).collect()
     langs = sorted(counts)
     rows = sorted((r["lang"], c.encode()[:WINDOW]) for r in sample for c in r["cuts"] if any(x.isalpha() for x in c))
     if not rows:
