@@ -30,7 +30,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.secrets(common.documents(spark, sf_dir))
+    import public_tokenizers
+
+    found = secrets.secrets(common.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     strongest = F.coalesce(F.array_max(F.transform("spans", lambda s: s["log_guesses"])), F.lit(0.0))
