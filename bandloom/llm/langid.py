@@ -49,18 +49,21 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], epochs: int = 6, batch: int = 64, rate: float = 0.01, seed: int = 5) -> Model:
-    """Fits the network to byte windows; a third of them are shortened at random so that short texts are known too."""
+    """Fits the network to byte windows; a third of them are shortened at random so that short texts are known too.
+
+    In each epoch every language has as many windows as the one with the most; those with fewer repeat theirs.
+    """
     rng = np.random.default_rng(seed)
     windows = words.LOWER[windows]
     common_bytes = np.argsort(-np.bincount(windows.ravel(), minlength=256)[1:], kind="stable")[: SYMBOLS - 2] + 1
     symbol = np.full(256, SYMBOLS - 1, np.uint8)
     symbol[0] = 0
     symbol[common_bytes] = np.arange(1, len(common_bytes) + 1)
-    x_all, n_out = symbol[windows], len(langs)
+    x_all, n_out, most = symbol[windows], len(langs), np.bincount(labels).max()
     p = [rng.normal(0, 0.3, (w, SYMBOLS, FILTERS)) for w in WIDTHS] + [np.zeros(len(WIDTHS) * FILTERS), rng.normal(0, 0.1, (len(WIDTHS) * FILTERS, n_out)), np.zeros(n_out)]
     m, v, step = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0
     for _ in range(epochs):
-        order = rng.permutation(len(x_all))
+        order = rng.permutation(np.concatenate([np.resize(rng.permutation(np.flatnonzero(labels == k)), most) for k in np.unique(labels)]))
         for i in range(0, len(order), batch):
             x, y = x_all[order[i : i + batch]].copy(), labels[order[i : i + batch]]
             for row in np.flatnonzero(rng.random(len(x)) < 0.33):
