@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +62,27 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def with_text(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """batch with null texts as empty ones."""
+    i = batch.schema.get_field_index("text")
+    return batch.set_column(i, "text", pc.fill_null(batch.column(i).cast(pa.string()), ""))
+
+
+def filtered(docs: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list[bool]]]) -> DataFrame:
+    """The rows of docs, all columns as they are, that a function of the batch keeps; make builds it once a task.
+
+    Rows are decided where they are read: no shuffle, whatever their ids.
+    """
+    arrow(docs.sparkSession)
+
+    def run(batches):
+        keep = make()
+        for b in batches:
+            yield b.filter(pa.array(keep(with_text(b)), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def keep_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of docs, all columns, whose doc_id is in ids(doc_id)."""
     return docs.join(ids.select(F.col("doc_id").alias("_keep")).distinct(), F.expr("doc_id <=> _keep"), "left_semi").select(docs.columns)

@@ -162,6 +162,23 @@ def fit(docs: DataFrame, max_docs_per_lang: int = 400, windows_per_doc: int = 6,
     return train(windows, np.array([langs.index(k) for k, _ in rows]), langs, seed=seed)
 
 
+def predictor(model: Model | None):
+    """A function of a batch with a text column without nulls: the languages and scores of its rows."""
+    net = Predictor(model) if model else None
+
+    def run(b: pa.RecordBatch) -> tuple[list[str], list[float]]:
+        data, offs = words.column(b.column("text"))
+        letters = [any(map(str.isalpha, t)) for t in b.column("text").to_pylist()]
+        langs, scores = [], []
+        for i, j in words.slices(offs):
+            x, y = net.texts(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]) if net else ([UNKNOWN] * (j - i), [0.0] * (j - i))
+            langs += x
+            scores += y
+        return [x if ok else UNKNOWN for x, ok in zip(langs, letters, strict=True)], [y if ok else 0.0 for y, ok in zip(scores, letters, strict=True)]
+
+    return run
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """SCHEMA for every row of docs(doc_id, text), over whole texts.
 
@@ -171,21 +188,27 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     common.arrow(docs.sparkSession)
 
     def run(batches):
-        net = Predictor(model) if model else None
+        of = predictor(model)
         for b in batches:
-            data, offs = words.column(b.column("text"))
-            letters = [any(map(str.isalpha, t)) for t in b.column("text").to_pylist()]
-            langs, scores = [], []
-            for i, j in words.slices(offs):
-                x, y = net.texts(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]) if net else ([UNKNOWN] * (j - i), [0.0] * (j - i))
-                langs += x
-                scores += y
-            langs = [x if ok else UNKNOWN for x, ok in zip(langs, letters, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(langs, pa.string()), pa.array([y if ok else 0.0 for y, ok in zip(scores, letters, strict=True)], pa.float64())], ["doc_id", "lang_pred", "score"])
+            langs, scores = of(b)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return common.id_text(docs).mapInArrow(run, SCHEMA)
 
 
+def keep_known(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
+    """The rows of docs, all columns, whose text is in a learned language with a score of least or more.
+
+    Every row is decided on its own text; see predict for null and empty ones.
+    """
+
+    def make():
+        of = predictor(model)
+        return lambda b: [x != UNKNOWN and y >= least for x, y in zip(*of(b), strict=True)]
+
+    return common.filtered(docs, make)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Whether crc32 of the id as text leaves 2 modulo 4; such rows are kept from training."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
