@@ -8,14 +8,15 @@ distance of t_i at most there. Fingerprints with equal probes are compared in nu
 
 A bucket never yields its links: it yields a spanning forest of them, at most one edge a row, and buckets of over
 BLOCK rows are cut into blocks whose pairs of blocks are separate groups. Equal fingerprints are one node throughout.
-Where a text check follows, a forest would lose links, as its own edges may fail; there each round yields the nearest
-candidates of each row that the links found before do not connect.
-
-Groups by Jaccard similarity do without fingerprints: they take their candidates from a prefix filter, which loses no
-pair. In any one order of all shingles, two sets of similarity t share one of the first n - ceil(t n) + 1 of each. The
-order puts common shingles last; which ones are common is estimated, and matters for the cost only. A candidate is left
-out beforehand only where the sets provably differ too much: with one parity bit a bucket of hashed shingles, two sets
-differ in at least as many shingles as their parities in bits.
+
+Groups by Jaccard similarity check the links of near fingerprints exactly, and then find what no fingerprint of 64 bits
+can be relied on for, pairs just over the least similarity, with a prefix filter, which loses no pair. In any one order
+of all shingles, two sets of similarity t share one of the first n - ceil(t n) + 1 of each. The order puts common
+shingles last; which ones are common is estimated, and matters for the cost only. A first round checks every document
+against the first one of a bucket, which is linear and joins groups of copies; only buckets that still hold documents of
+different components go on, to rounds that take the nearest candidates of each row that the links found before do not
+connect. A candidate is left out beforehand only where the sets provably differ too much: with one parity bit a bucket
+of hashed shingles, two sets differ in at least as many shingles as their parities in bits.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common, components, words
@@ -37,15 +38,19 @@ BITS = 64
 BLOCK, CHUNK = 1024, 100_000
 #: Parity bits of a shingle set, as long columns.
 PARITY = [f"p{i}" for i in range(4)]
-#: Pairs that one step of a comparison holds, and the candidates of a node that the rounds before the last check.
+#: Pairs that one step of a comparison holds, and the candidates of a row that the rounds before the last check.
 PAIRS, PARTNERS = 4_000_000, (4, 32, 256)
-#: The first round over sets compares rows up to so many places apart.
-REACH = 16
+#: Fingerprints of shingle sets that differ in so many bits are candidates; others are the prefix filter's.
+NEAR_BITS = 3
+#: So many ids, 8 bytes each, may be sent to every task to leave out other texts before they are moved.
+SENT_IDS = 2_000_000
+#: Texts that are compared with one text in one task.
+PARTNERS_PER_TASK = 256
 #: Documents whose shingles are counted to find the common ones, the least count of these, and how many are kept.
 ORDER_DOCS, COMMON_COUNT, COMMON_KEPT = 50_000, 8, 500_000
 #: Relative costs of a probe row (shuffled and sorted) and of a compared pair.
 PROBE_COST, PAIR_COST = 2.0, 0.01
-SCHEMA = "doc_id long, fp long, near long"
+SCHEMA = "doc_id long, fp long"
 
 
 def majority(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -78,17 +83,16 @@ def shingle_hashes(text: bytes, size: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """SCHEMA of docs(doc_id, text): fp over shingles of size words, repeats included; near repeats fp."""
+    """SCHEMA of docs(doc_id, text): fp over shingles of size words, repeats included."""
     common.arrow(docs.sparkSession)
 
     def run(batches):
         for b in batches:
-            _, fp = 0, []
+            fp = []
             for t in b.column("text").to_pylist():
                 h = shingle_hashes(t.encode("utf-8", "surrogatepass"), size)
                 fp.append(int(majority(h, np.array([0, len(h)]))[0]))
-            fp = pa.array(np.array(fp, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), fp, fp], ["doc_id", "fp", "near"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.array(fp, np.uint64).view(np.int64))], ["doc_id", "fp"])
 
     return common.id_text(docs).mapInArrow(run, SCHEMA)
 
@@ -103,17 +107,32 @@ def shingle_sets(col: pa.Array, size: int) -> Iterator[np.ndarray]:
         yield from (np.unique(grams[at[k] : at[k + 1]]) for k in range(j - i))
 
 
-def set_digests(docs: DataFrame, size: int = 5) -> DataFrame:
-    """doc_id of docs(doc_id, text) and, of its set of shingles of size words, a digest, its size n and PARITY."""
+def set_prints(docs: DataFrame, size: int, least: float) -> DataFrame:
+    """doc_id of docs(doc_id, text) and, of its set of shingles of size words: a digest, its size n, PARITY, the
+    fingerprint fp, and the hashes of its prefix for similarity least, in plain (surely not in over a small share of all
+    documents) and frequent."""
     common.arrow(docs.sparkSession)
+    docs = common.id_text(docs)
+    top = common_shingles(docs, size)
+    by = np.argsort(top)
+    sent = docs.sparkSession.sparkContext.broadcast((top[by], by))
 
     def run(batches):
+        known, rank = sent.value
+        lists = pa.list_(pa.int64())
         for b in batches:
-            sets = [set_digest(s) for s in shingle_sets(b.column("text"), size)]
-            columns = np.array(sets, np.uint64).reshape(-1, 2 + len(PARITY)).T
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns)], ["doc_id", "digest", "n", *PARITY])
+            digests, fps, plain, frequent = [], [], [], []
+            for s in shingle_sets(b.column("text"), size):
+                digests.append(set_digest(s))
+                fps.append(majority(s, np.array([0, len(s)]))[0])
+                first, often = prefix(s, known, rank, least)
+                plain.append(first[~often].view(np.int64))
+                frequent.append(first[often].view(np.int64))
+            columns = [*np.array(digests, np.uint64).reshape(-1, 2 + len(PARITY)).T, np.array(fps, np.uint64)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns), pa.array(plain, lists), pa.array(frequent, lists)], names)
 
-    return common.id_text(docs).mapInArrow(run, "doc_id long, digest long, n long, " + ", ".join(f"{c} long" for c in PARITY))
+    names = ["doc_id", "digest", "n", *PARITY, "fp", "plain", "frequent"]
+    return docs.mapInArrow(run, ", ".join(f"{c} long" for c in names[:-2]) + ", plain array<long>, frequent array<long>")
 
 
 def set_digest(grams: np.ndarray) -> np.ndarray:
@@ -248,9 +267,9 @@ def forest(group: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray
     return np.array(left, np.int64), np.array(right, np.int64)
 
 
-def nearest(group: np.ndarray, part: np.ndarray, judge, most: int, reach: int = 1 << 62) -> tuple[np.ndarray, np.ndarray]:
+def nearest(group: np.ndarray, part: np.ndarray, judge, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Each row with its most nearest candidates in runs of equal group that are of another part; judge(i, j) gives the
-    positions of the row pairs that are candidates, and their distances. Only rows up to reach places apart are compared.
+    positions of the row pairs that are candidates, and their distances.
 
     A row that may have more is paired with itself besides, so a pair left out has both its rows marked.
     """
@@ -260,7 +279,7 @@ def nearest(group: np.ndarray, part: np.ndarray, judge, most: int, reach: int =
     first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     open_ = np.minimum.reduceat(part, first) < np.maximum.reduceat(part, first)  # groups of one part have no pairs left
     sizes, first = np.diff(np.append(first, len(group)))[open_], first[open_]
-    pairs = np.cumsum(sizes * np.minimum((sizes - 1) / 2, reach))
+    pairs = np.cumsum(sizes * (sizes - 1) / 2)
     g = 0
     while g < len(sizes):
         until = max(g + 1, int(np.searchsorted(pairs, (pairs[g - 1] if g else 0) + PAIRS, "right")))
@@ -268,7 +287,7 @@ def nearest(group: np.ndarray, part: np.ndarray, judge, most: int, reach: int =
         ends = np.repeat(first[g:until] + counts, counts)
         rows = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first[g:until], counts)
         i, off, found = rows, 1, []
-        while off <= reach and len(i):
+        while len(i):
             inside = i + off < ends
             i, ends = i[inside], ends[inside]
             j = i + off
@@ -276,10 +295,6 @@ def nearest(group: np.ndarray, part: np.ndarray, judge, most: int, reach: int =
             ok, by = judge(i[other], j[other])
             found.append(np.stack([i[other][ok], j[other][ok], by]))
             off += 1
-        if reach < 1 << 62:
-            wide = rows[np.repeat(counts > reach + 1, counts)]
-            lefts.append(wide)
-            rights.append(wide)
         if found:
             a, b, d = np.concatenate(found, axis=1)
             a, b, d = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([d, d])
@@ -294,29 +309,29 @@ def nearest(group: np.ndarray, part: np.ndarray, judge, most: int, reach: int =
 
 
 def compared(nodes: DataFrame, distance: int, kernel) -> DataFrame:
-    """Pairs (a, b) of the nodes(node, fp, near, part, ...) that kernel(group, rows) picks from buckets of equal probes."""
+    """Pairs (a, b) of the nodes(node, fp) that kernel(group, rows) picks from buckets of equal probes."""
     n, both = bit_statistics(nodes)
     masks = plan(n, both, distance)
-    row = nodes.columns
-    probes = nodes.withColumn("probe", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("bits")) for k, m in enumerate(masks)]))).select(*row, "probe.k", "probe.bits")
-    return picked(probes, row, ["fp", "near"], kernel)
+    probes = nodes.select("node", "fp").withColumn("probe", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("bits")) for k, m in enumerate(masks)]))).select("node", "fp", "probe.k", "probe.bits")
+    sizes = probes.groupBy("k", "bits").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > BLOCK)
+    hot = common.written(sizes.select("k", "bits", F.lit(0).alias("main_blocks"), F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")), "hot")
+    return picked(probes, hot, F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"), ["node", "fp"], ["fp"], kernel)
 
 
-def picked(probes: DataFrame, row: list[str], order: list[str], kernel) -> DataFrame:
+def picked(probes: DataFrame, hot: DataFrame, block: Column, row: list[str], order: list[str], kernel) -> DataFrame:
     """Pairs (a, b) of the probes(k, bits and the columns row, node among them) that kernel(group, rows) picks from
     buckets of equal k and bits; order: the columns of row that decide its place in a bucket.
 
-    Buckets of over BLOCK rows are cut into blocks, and each pair of blocks is a group of its own.
+    The buckets in hot(k, bits, main_blocks, blocks) are cut: block tells each row's, and each pair of blocks is a group
+    of its own but those of two of the first main_blocks.
     """
-    hot = common.written(probes.groupBy("k", "bits").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > BLOCK).withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int")).drop("rows"), "hot")
     if hot.isEmpty():
         placed = probes.withColumns({"x": F.lit(0), "y": F.lit(0)})
     else:
-        b = F.pmod(F.xxhash64(*order), F.col("blocks")).cast("int")
-        others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("b"))
-        placed = probes.join(hot, ["k", "bits"], "left").withColumn("b", b).withColumn("o", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(others)))
-        placed = placed.withColumns({"x": F.when(F.col("b").isNull(), 0).otherwise(F.least("b", "o")), "y": F.when(F.col("b").isNull(), 0).otherwise(F.greatest("b", "o"))})
-    placed = placed.select(*row, "k", "bits", "x", "y").repartition("k", "bits", "x", "y").sortWithinPartitions("k", "bits", "x", "y", *reversed(order))
+        others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: (j != F.col("b")) & (F.greatest(j, F.col("b")) >= F.col("main_blocks")))
+        placed = probes.join(hot, ["k", "bits"], "left").withColumn("b", block).withColumn("o", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(others)))
+        placed = placed.withColumns({"x": F.when(F.col("blocks").isNull(), 0).otherwise(F.least("b", "o")), "y": F.when(F.col("blocks").isNull(), 0).otherwise(F.greatest("b", "o"))})
+    placed = placed.select(*row, "k", "bits", "x", "y").repartition("k", "bits", "x", "y").sortWithinPartitions("k", "bits", "x", "y", *order)
 
     def run(batches: Iterator[pd.DataFrame]):
         held: list[pd.DataFrame] = []
@@ -351,67 +366,128 @@ def unsigned(column: pd.Series) -> np.ndarray:
 
 
 def links(nodes: DataFrame, distance: int) -> DataFrame:
-    """Edges (a, b) that connect the nodes(node, fp, near) within distance just as all their links would."""
-    return compared(nodes.withColumn("part", F.col("node")), distance, lambda group, rows: forest(group, unsigned(rows["fp"]), distance))
-
-
-def similar(edges: DataFrame, docs: DataFrame, size: int, least: float) -> DataFrame:
-    """The edges(a, b) whose texts' sets of shingles of size words have a Jaccard similarity of least or more."""
-    common.arrow(docs.sparkSession)
-    ids = edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-
-    def run(batches):
-        for b in batches:
-            sets = [x.view(np.int64) for x in shingle_sets(b.column("text"), size)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["node", "s"])
-
-    texts = common.id_text(docs).join(ids, "doc_id", "left_semi")
-    sets = common.written(texts.mapInArrow(run, "node long, s array<long>"), "sets")
-    both = edges.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(shared >= F.lit(least) * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
-
-
-def checked_links(nodes: DataFrame, distance: int, near_distance: int, check) -> DataFrame:
-    """Edges (a, b) that connect the nodes(node, fp, near) as all pairs that check lets pass of those within distance
-    bits of fp and near_distance bits of near would."""
+    """Edges (a, b) that connect the nodes(node, fp) within distance just as all their links would."""
+    return compared(nodes, distance, lambda group, rows: forest(group, unsigned(rows["fp"]), distance))
 
-    def candidates(active: DataFrame, most: int, reach: int) -> DataFrame:
-        def kernel(group, rows):
-            fp, near = unsigned(rows["fp"]), unsigned(rows["near"])
 
-            def judge(i, j):
-                by, words_by = np.bitwise_count(near[i] ^ near[j]), np.bitwise_count(fp[i] ^ fp[j])
-                ok = np.flatnonzero((words_by <= distance) & (by <= near_distance))
-                return ok, by[ok].astype(np.int64) + words_by[ok]
+# ---- groups by similarity
 
-            return nearest(group, rows["part"].to_numpy(), judge, most, reach)
 
-        return compared(active, distance, kernel)
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The docs(doc_id, text) whose doc_id is among ids(doc_id), which is written and has no repeats."""
+    if ids.count() <= SENT_IDS:
+        ids = F.broadcast(ids)
+    return common.id_text(docs).join(ids, "doc_id", "left_semi")
 
-    return rounds(nodes, candidates, check, ((m, 1 << 62) for m in (*PARTNERS, 1 << 62)))
 
+def similar(edges: DataFrame, docs: DataFrame, size: int, least: float) -> DataFrame:
+    """The edges(a, b), which are written, whose texts' sets of shingles of size words have a Jaccard similarity of
+    least or more.
 
-def rounds(nodes: DataFrame, candidates, check, steps) -> DataFrame:
-    """Edges (a, b) that connect the nodes(node, ...) as all candidate pairs that check lets pass would.
-
-    candidates takes nodes with their part, and most and reach of nearest; check takes edges and returns those that
-    count. Each of the steps(most, reach) takes the nearest of every node's candidates in other components so far, the
-    last one has to take all; nodes without candidates left out of a round are done with it.
+    Every a goes to where its b is, so an edge moves one text; the texts of one b are shared out among tasks.
     """
-    spark = nodes.sparkSession
-    edges = tried = spark.createDataFrame([], "a long, b long")
-    active = nodes.withColumn("part", F.col("node"))
-    for most, reach in steps:
-        found = common.written(candidates(active, most, reach), "candidates")
-        new = common.written(found.filter("a <> b").join(tried, ["a", "b"], "left_anti"), "tried")
-        edges = edges.unionByName(common.written(check(new), "links"))
+    common.arrow(docs.sparkSession)
+    ids = common.written(edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    texts = common.written(texts_of(docs, ids), "texts")
+    shares = common.written(edges.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PARTNERS_PER_TASK).cast("int").alias("shares")), "shares")
+    dealt = common.written(edges.join(shares, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("shares")).cast("int").alias("share")), "dealt")
+    each = dealt.join(texts.withColumnRenamed("doc_id", "a"), "a").select("b", "share", "a", "text")
+    center = shares.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).join(texts.withColumnRenamed("doc_id", "b"), "b").select("b", "share", F.lit(None).cast("long").alias("a"), "text")
+    rows = each.unionByName(center).repartition("b", "share").sortWithinPartitions("b", "share", F.asc_nulls_first("a"))
+
+    def run(batches):
+        own = None  # the set of b, whose row comes first
+        for batch in batches:
+            found = []
+            for a, b, s in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), shingle_sets(batch.column("text"), size), strict=True):
+                if a is None:
+                    own = s
+                else:
+                    shared = len(np.intersect1d(own, s, assume_unique=True))
+                    if shared >= least * (len(own) + len(s) - shared):
+                        found.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
+def bound(least: float, n: tuple[str, str], parity: tuple[str, str]) -> Column:
+    """As similarity_bound, over columns: sizes, and prefixes of the names of the parities."""
+    apart = sum((F.bit_count(F.col(parity[0] + c).bitwiseXOR(F.col(parity[1] + c))) for c in PARITY), F.lit(0))
+    differ = F.greatest(apart.cast("long"), F.abs(F.col(n[0]) - F.col(n[1])))
+    return differ * (1 + least) <= (F.col(n[0]) + F.col(n[1])) * ((1 - least) * (1 + 1e-9))
+
+
+def to_leaders(probes: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """For each node of the probes(bits, node) that may be similar to the first node of one of its buckets, the pair
+    (a, b) with the one that it shares most buckets with."""
+    first = common.written(probes.groupBy("bits").agg(F.min("node").alias("b")), "first")
+    pairs = probes.join(first, "bits").filter("node <> b").groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("shared"))
+    sizes = nodes.select("node", "n", *PARITY)
+    names = lambda x: sizes.select(F.col("node").alias(x), *(F.col(c).alias(x + c) for c in ("n", *PARITY)))
+    may = common.written(pairs, "leaders").join(names("a"), "a").join(names("b"), "b").filter(bound(least, ("an", "bn"), ("a", "b")))
+    return may.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
+
+
+def open_probes(probes: DataFrame, active: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The probes(bits, node) of active(node, part, ...) nodes, with active's columns and k, whose bucket has nodes of
+    several parts; and how buckets of over BLOCK rows are cut: the rows of the commonest part come first and need not
+    be compared with each other."""
+    rows = common.written(probes.join(active.select("node", "part"), "node"), "rows")
+    parts = rows.groupBy("bits", "part").agg(F.count(F.lit(1)).alias("c"))
+    buckets = parts.groupBy("bits").agg(F.sum("c").alias("rows"), F.max(F.struct("c", "part")).alias("m")).filter(F.col("rows") > F.col("m.c"))
+    buckets = common.written(buckets.select("bits", "rows", F.col("m.c").alias("main_rows"), F.col("m.part").alias("main")), "buckets")
+    rows = common.written(rows.select("bits", "node").join(buckets.select("bits"), "bits", "left_semi"), "rows")
+    main = F.ceil(F.col("main_rows") / BLOCK).cast("int")
+    rest = F.ceil((F.col("rows") - F.col("main_rows")) / BLOCK).cast("int")
+    hot = common.written(buckets.filter(F.col("rows") > BLOCK).select(F.lit(0).alias("k"), "bits", "main", main.alias("main_blocks"), (main + rest).alias("blocks")), "hot")
+    return rows.join(active, "node").withColumn("k", F.lit(0)), hot
+
+
+def candidates(probes: DataFrame, active: DataFrame, least: float, most: int) -> DataFrame:
+    """Of each node in active(node, part, digest, n, PARITY) most candidates of other parts, the nearest in parity, and
+    the node with itself if it may have more."""
+    rows, hot = open_probes(probes, active)
+
+    def kernel(group, rows):
+        may, parity = similarity_bound(rows, least), rows[PARITY].to_numpy(np.int64).view(np.uint64)
+
+        def judge(i, j):
+            ok = np.flatnonzero(may(i, j))
+            return ok, np.bitwise_count(parity[i[ok]] ^ parity[j[ok]]).sum(1, dtype=np.int64)
+
+        return nearest(group, rows["part"].to_numpy(), judge, most)
+
+    digest = F.xxhash64("digest")
+    block = F.when(F.col("part") == F.col("main"), F.pmod(digest, F.col("main_blocks"))).otherwise(F.col("main_blocks") + F.pmod(digest, F.col("blocks") - F.col("main_blocks"))).cast("int")
+    return picked(rows, hot, block, active.columns, ["n", "digest"], kernel)
+
+
+def set_links(nodes: DataFrame, prints: DataFrame, docs: DataFrame, size: int, least: float) -> DataFrame:
+    """Edges (a, b) that connect the nodes(node, digest, n, PARITY, fp) as all pairs of similarity least or more would."""
+    mine = prints.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    mine = common.written(mine.select(F.col("doc_id").alias("node"), "plain", "frequent"), "prefixes")
+    # hashes that are not frequent make no large window; those that a node is alone with, most of them, are not written
+    alone = F.count(F.lit(1)).over(Window.partitionBy("bits"))
+    plain = mine.select("node", F.explode("plain").alias("bits")).withColumn("c", alone).filter("c > 1").select("bits", "node")
+    probes = common.written(plain.unionByName(mine.select(F.explode("frequent").alias("bits"), "node")), "probes")
+    by_print = common.written(nodes.groupBy("fp").agg(F.min("node").alias("b")), "fingerprints")
+    equal = nodes.join(by_print, "fp").select(F.col("node").alias("a"), "b").filter("a <> b")
+    near = links(by_print.select(F.col("b").alias("node"), "fp"), NEAR_BITS).select(F.col("b").alias("a"), F.col("a").alias("b"))
+    tried = common.written(equal.unionByName(near).unionByName(to_leaders(probes, nodes, least)).distinct(), "tried")
+    edges = common.written(similar(tried, docs, size, least), "links")
+    active = nodes.select("node", "digest", "n", *PARITY)
+    for most in (*PARTNERS, 1 << 62):
+        parts = components.components(edges)
+        parted = common.written(active.join(parts, "node", "left").select(*active.columns, F.coalesce("component", "node").alias("part")), "active")
+        found = common.written(candidates(probes, parted, least, most), "candidates")
+        ends = (F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a"))
+        new = common.written(found.filter("a <> b").select(*ends).join(tried.select(*ends).distinct(), ["a", "b"], "left_anti"), "new")
         tried = tried.unionByName(new)
-        left = found.filter("a = b").select(F.col("a").alias("node"))
-        if left.isEmpty():
+        edges = edges.unionByName(common.written(similar(new, docs, size, least), "links"))
+        active = common.written(active.join(found.filter("a = b").select(F.col("a").alias("node")), "node", "left_semi"), "active")
+        if active.isEmpty():
             break
-        parts = components.components(edges)
-        active = common.written(nodes.join(left, "node", "left_semi").join(parts, "node", "left").select(*nodes.columns, F.coalesce("component", "node").alias("part")), "active")
     return edges
 
 
@@ -430,63 +506,24 @@ def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
     return top["bits"].to_numpy(np.int64).view(np.uint64)
 
 
-def prefix(s: np.ndarray, known: np.ndarray, rank: np.ndarray, least: float) -> np.ndarray:
-    """The first n - ceil(least n) + 1 of the different hashes s in an order of all hashes: those not known (sorted)
-    first, then by falling rank."""
-    if not len(s):
-        return s
+def prefix(s: np.ndarray, known: np.ndarray, rank: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The first n - ceil(least n) + 1 of the different hashes s in an order of all hashes, those not known (sorted)
+    first, then by falling rank; and which of them are known."""
     order = np.full(len(s), len(known))
-    if len(known):
+    if len(known) and len(s):
         at = np.minimum(np.searchsorted(known, s), len(known) - 1)
         order = np.where(known[at] == s, rank[at], order)
-    return s[np.lexsort((s, -order))][: len(s) - math.ceil(least * len(s) - 1e-9) + 1]
-
-
-def prefixes(docs: DataFrame, size: int, least: float) -> DataFrame:
-    """node, bits: every document of docs(doc_id, text) with each hash of its prefix."""
-    top = common_shingles(docs, size)
-    by = np.argsort(top)
-    sent = docs.sparkSession.sparkContext.broadcast((top[by], by))
-
-    def run(batches):
-        known, rank = sent.value
-        for b in batches:
-            found = [prefix(s, known, rank, least) for s in shingle_sets(b.column("text"), size)]
-            ids = b.column("doc_id").take(pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found])))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64))], ["node", "bits"])
-
-    return docs.mapInArrow(run, "node long, bits long")
-
-
-def set_links(nodes: DataFrame, docs: DataFrame, size: int, least: float) -> DataFrame:
-    """Edges (a, b) that connect the nodes(node, digest, n, PARITY) as all pairs of similarity least or more would."""
-    # one shuffle; prefixes that a hash is alone in, most of them, are not written
-    rows = F.count(F.lit(1)).over(Window.partitionBy("bits"))
-    probes = common.written(prefixes(common.id_text(docs), size, least).withColumn("c", rows).filter("c > 1").drop("c"), "shared")
-
-    def candidates(active: DataFrame, most: int, reach: int) -> DataFrame:
-        def kernel(group, rows):
-            may, parity = similarity_bound(rows, least), rows[PARITY].to_numpy(np.int64).view(np.uint64)
-
-            def judge(i, j):
-                ok = np.flatnonzero(may(i, j))
-                return ok, np.bitwise_count(parity[i[ok]] ^ parity[j[ok]]).sum(1, dtype=np.int64)
-
-            return nearest(group, rows["part"].to_numpy(), judge, most, reach)
-
-        return picked(probes.join(active, "node").withColumn("k", F.lit(0)), active.columns, ["digest", "n"], kernel)
-
-    steps = ((PARTNERS[0], REACH), *((m, 1 << 62) for m in (*PARTNERS, 1 << 62)))
-    return rounds(nodes, candidates, lambda e: similar(e, docs, size, least), steps)
+    first = np.lexsort((s, -order))[: len(s) - math.ceil(least * len(s) - 1e-9) + 1]
+    return s[first], order[first] < len(known)
 
 
-def grouped(prints: DataFrame, find, keys: tuple[str, ...]) -> DataFrame:
-    """The keys, component_id and the rest of prints (SCHEMA and more); rows of equal keys are one node; find: takes
-    nodes(node and prints' columns but doc_id), returns edges."""
-    nodes = common.written(prints.groupBy(*[c for c in prints.columns if c != "doc_id"]).agg(F.min("doc_id").alias("node")), "nodes")
+def grouped(prints: DataFrame, find, keys: list[str]) -> DataFrame:
+    """doc_id, the keys, component_id of prints(doc_id, keys); rows of equal keys are one node; find: takes
+    nodes(node, keys), returns edges."""
+    nodes = common.written(prints.groupBy(*keys).agg(F.min("doc_id").alias("node")), "nodes")
     found = components.components(find(nodes.filter("node is not null")))
     classes = nodes.join(found, "node", "left").select(*keys, F.coalesce("component", "node").alias("component_id"))
-    return prints.join(common.written(classes, "classes"), list(keys))
+    return prints.select("doc_id", *keys).join(common.written(classes, "classes"), keys)
 
 
 def near_dedup(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFrame:
@@ -494,18 +531,22 @@ def near_dedup(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFrame:
 
     Null and empty texts and texts without words have fingerprint zero and link as any other. component_id is the
     smallest doc_id that links reach, itself included; null ids are passed over, and a component of null ids only has
-    none. Rows that repeat a doc_id are one document. An empty table gives an empty result; other columns are ignored.
+    none. Rows that repeat a doc_id link each by its own fingerprint. An empty table gives an empty result; other
+    columns are ignored.
     """
     prints = common.written(fingerprints(docs, size), "prints")
-    return grouped(prints, lambda nodes: links(nodes, distance), ("fp", "near")).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    found = grouped(prints, lambda nodes: links(nodes, distance), ["fp"])
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def similar_groups(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
     """doc_id, component_id of docs(doc_id, text) grouped by Jaccard similarity of their sets of word shingles.
 
-    A prefix filter gives all pairs of similarity least or more as candidates. Every candidate pair is checked exactly,
-    but those of one component already and those whose sizes or parities rule it out. Texts of one set of shingles (by
-    digest and size) are one node. Rows without a doc_id are in no group. See near_dedup for the rest.
+    Links of near fingerprints are checked exactly; a prefix filter gives all other pairs of similarity least or more
+    as candidates. Every candidate pair is checked exactly, but those of one component already and those whose sizes or
+    parities rule it out. Texts of one set of shingles (by digest and size) are one node. Rows without a doc_id are in
+    no group but that of an equal set. Rows that repeat a doc_id have to have one text. See near_dedup for the rest.
     """
-    prints = common.written(set_digests(docs, size), "prints")
-    return grouped(prints, lambda nodes: set_links(nodes, docs, size, least), ("digest", "n")).select("doc_id", "component_id")
+    prints = common.written(set_prints(docs, size, least), "prints")
+    keys = ["digest", "n", *PARITY, "fp"]
+    return grouped(prints, lambda nodes: set_links(nodes, prints, docs, size, least), keys).select("doc_id", "component_id")

@@ -143,27 +143,21 @@ def test_similar_groups_count_repeated_shingles_once(spark):
     assert got == brute_groups(texts) and got[1001] == 1000
 
 
-def test_checked_links_keep_what_all_candidates_would(spark, monkeypatch):
-    """Half of the near fingerprints fail the check; the others must connect just as all pairs would, in cut buckets too."""
-    monkeypatch.setattr(simhash, "BLOCK", 16)
-    monkeypatch.setattr(simhash, "PARTNERS", (1, 3))
+def test_similar_groups_in_cut_buckets_with_several_rounds(spark, monkeypatch):
+    """Rows of one part and strays, in buckets cut into blocks, over several rounds: all that brute force links."""
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    monkeypatch.setattr(simhash, "COMMON_COUNT", 3)
+    monkeypatch.setattr(simhash, "PARTNERS", (1, 2))
+    monkeypatch.setattr(simhash, "PARTNERS_PER_TASK", 3)
     rng = np.random.default_rng(5)
-    base = rng.integers(0, 2**63, 3, dtype=np.uint64)
-    flip = lambda n: np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (2, n), dtype=np.uint64), axis=0)
-    fp, near = (np.repeat(base, 30) ^ flip(90) for _ in range(2))
-    nodes = spark.createDataFrame([(i, int(a.view(np.int64)), int(b.view(np.int64))) for i, (a, b) in enumerate(zip(fp, near, strict=True))], "node long, fp long, near long")
-    kind = rng.integers(0, 6, 90)
-    kinds = spark.createDataFrame([(i, int(k)) for i, k in enumerate(kind)], "n long, kind int")
-    same = lambda e: e.join(kinds.toDF("a", "ka"), "a").join(kinds.toDF("b", "kb"), "b").filter("ka = kb").select("a", "b")
-    label, truth = list(range(90)), list(range(90))
-    for a, b in simhash.checked_links(nodes, 6, 6, same).collect():
-        assert kind[a] == kind[b]
-        label = [min(label[a], label[b]) if x in (label[a], label[b]) else x for x in label]
-    for a in range(90):
-        for b in range(a):
-            if kind[a] == kind[b] and int(fp[a] ^ fp[b]).bit_count() <= 6 and int(near[a] ^ near[b]).bit_count() <= 6:
-                truth = [min(truth[a], truth[b]) if x in (truth[a], truth[b]) else x for x in truth]
-    assert label == truth and len(set(truth)) < 45
+    base, texts = [f"w{i}" for i in range(200)], {}
+    for i in range(90):  # copies, copies of copies, and texts just under the similarity
+        w = list(base)
+        for k in range(int((2, 5, 9)[i % 3])):
+            w[int(rng.integers(200))] = f"x{i}y{k}"
+        texts[i] = " ".join(w)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == brute_groups(texts) and 3 < len(set(got.values())) < 80
 
 
 def test_similarity_bound_loses_no_link():
@@ -240,7 +234,7 @@ def test_secrets(docs, empty):
     assert set(want) <= set(found[11]) and ("guess", text.index("04d"), text.index("04d") + 40) in found[11]
     assert not found[4] and not found[1] and secrets.secrets(empty).count() == 0
     assert secrets.log_guesses("password") < 1 < secrets.log_guesses("qwerty123") < 6 < secrets.log_guesses("k9#Lm2$vXq8")
-    assert secrets.log_guesses("aaaaaaaa") < 3 and secrets.log_guesses("2019-05-07") < 6
+    assert secrets.log_guesses("aaaaaaaa") < 4 and secrets.log_guesses("2019-05-07") < 6
 
 
 def test_secret_values_are_whole():
@@ -255,13 +249,6 @@ def test_secret_values_are_whole():
     assert secrets.log_guesses("a" * 20000) < 10 and secrets.log_guesses("as" * 10000) < 10
 
 
-def test_guess_cost_is_least(spark):
-    """The dynamic programme never costs more than brute force over the whole value, nor than a word with a rest."""
-    for value in ("dragonXk7", "Summer2021!", "asdfgh", "zzzzQ1"):
-        brute = sum(np.log10(secrets.alphabet(c)) for c in value)
-        assert secrets.log_guesses(value) <= brute + 1e-9
-
-
 def test_licenses(docs, empty):
     got = {r["doc_id"]: r for r in licenses.licenses(docs).collect()}
     r = got[12]
@@ -280,9 +267,11 @@ def sample_match(parsed, rng):
         op = str(op)
         if op == "LITERAL":
             out.append(chr(arg))
+        elif op == "ANY":
+            out.append("abc "[int(rng.integers(4))])
         elif op == "IN":
             kind, x = arg[int(rng.integers(len(arg)))]
-            out.append(chr(x[0] if str(kind) == "RANGE" else x))
+            out.append("0" if str(kind) == "CATEGORY" else chr(x[0] if str(kind) == "RANGE" else x))
         elif op == "BRANCH":
             out.append(sample_match(arg[1][int(rng.integers(len(arg[1])))], rng))
         elif op == "SUBPATTERN":
@@ -297,10 +286,14 @@ def sample_match(parsed, rng):
 def test_license_keywords_are_in_every_match():
     rng = np.random.default_rng(4)
     for rule in licenses.rules():
+        parsed, matches = re._parser.parse(rule.source), 0
+        assert parsed.getwidth()[1] + 2 < licenses.AROUND
         for _ in range(12):
-            text = b" " + sample_match(re._parser.parse(rule.pattern.pattern.decode()), rng).encode() + b" "
+            text = b" " + sample_match(parsed, rng).encode() + b" "
             if rule.pattern.search(text):
-                assert rule.keyword in text and (rule.keyword != b" under" or licenses._REFERS.search(text)), (rule.label, text)
+                matches += 1
+                assert any(k in text and (k != b" under " or licenses._REFERS.search(text)) for k in rule.keywords), (rule.label, text)
+        assert matches
     for text, label in (("Common Development and Distribution License version 1.0", "cddl-1.0"), ("do what the fuck you want to public license", "wtfpl"), ("has dedicated all copyright and related or neighboring rights", "cc0-1.0")):
         assert label in licenses.scan(text)[5].split(",")
 
