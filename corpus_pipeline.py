@@ -35,14 +35,20 @@ def by_row(docs: DataFrame, keep) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter, null or empty, and those whose best language scores under the minimum."""
-    model = langid.fit(docs.filter(~langid.held_out()))
-    passed = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return by_row(docs, lambda d: common.keep_rows(d, langid.predict(d, model).filter(passed)))
+    """Rejects texts without a letter, null or empty, and those whose best language scores under the minimum.
+
+    Rows are decided one by one, so null and repeated doc_ids and repeated rows make no difference, and equal texts
+    stay or go together. An empty table stays empty; without labelled text nothing can be told, and all rows go.
+    """
+    return langid.keep_known(docs, langid.fit(docs.filter(~langid.held_out())), MIN_LANGUAGE_SCORE)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one row stays, of those with the largest doc_id; rows of different texts all do, whatever their ids."""
+    """Of equal texts one row stays, of those with the largest doc_id; rows of different texts all do, whatever their ids.
+
+    Null and empty texts are equal. Of repeated rows one stays, of rows without a doc_id with one text one. An empty
+    table stays empty.
+    """
     found = exact_dedup.exact_dedup(docs).filter("kept")
     ids = odd_ids(docs)
     if ids.isEmpty():
@@ -56,19 +62,28 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8) the smallest doc_id stays; rows without a
-    doc_id of their own count as smaller than any."""
+    """Of each group of near copies (five-word shingles, similarity 0.8) the smallest doc_id stays.
+
+    Rows without a doc_id of their own count as smaller than any, in an order that only a rerun on the same files
+    repeats. Texts without words are one group, null ones among them; repeated rows are near copies. An empty table
+    stays empty.
+    """
     return by_row(docs, lambda d: common.keep_rows(d, simhash.similar_groups(d).filter("doc_id <=> component_id")))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that hold a benchmark item."""
+    """Rejects documents that hold a benchmark item.
+
+    Rows are decided one by one, so null and repeated doc_ids make no difference. Null and empty texts and empty tables
+    stay as they are, as does everything if there are no items.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return by_row(docs, lambda d: common.keep_rows(d, decontamination.decontaminate(d, items).filter("not contaminated")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per document with what the mix takes of it."""
+    """One row per document with what the mix takes of it; null texts have size 0, null sources are a source, repeated
+    rows count one by one, an empty table gives no rows."""
     return mixing.mix(docs)
 
 
