@@ -78,7 +78,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stay as they are, as does everything if there are no items.
     """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return by_row(docs, lambda d: common.keep_rows(d, decontamination.decontaminate(d, items).filter("not contaminated")))
+    return decontamination.keep_clean(docs, items)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
