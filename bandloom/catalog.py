@@ -5,6 +5,8 @@ The embeddings table stands for images: label = image, vec_id = pixel on a grid
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -38,6 +40,11 @@ def r6(c) -> F.Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
+def unsigned_zero(df: DataFrame, c: str) -> DataFrame:
+    """-0.0 as 0.0."""
+    return df.withColumn(c, F.col(c) + F.lit(0.0))
+
+
 def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[r6(c).alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
 
@@ -87,21 +94,21 @@ def histogram_valleys(spark, d):
     return stats.peaks(event_histogram(spark, d), "event_type", valley=True)
 
 
-COV = "WITH " + TALL + " SELECT {k} CAST(a.band AS INTEGER) AS band_a, CAST(b.band AS INTEGER) AS band_b, round(covar_samp(a.v, b.v), 6) AS cov FROM t a JOIN t b ON a.vec_id = b.vec_id WHERE a.band <= 8 AND b.band <= 8 GROUP BY {g} a.band, b.band"
+COV = "WITH " + TALL + " SELECT {k} CAST(a.band AS INTEGER) AS band_a, CAST(b.band AS INTEGER) AS band_b, round(covar_samp(a.v, b.v), 6) + 0.0 AS cov FROM t a JOIN t b ON a.vec_id = b.vec_id GROUP BY {g} a.band, b.band"
 
 
-def first_bands(spark, d, n=8):
+def first_bands(spark, d, n):
     return pixels(spark, d).withColumn("spectrum", F.slice("spectrum", 1, n))
 
 
 @query(COV.format(k="0 AS key,", g=""))
 def band_covariance(spark, d):
-    return rounded(linalg.covariance(first_bands(spark, d).withColumn("all", F.lit(0)), "all"))
+    return unsigned_zero(rounded(linalg.covariance(pixels(spark, d).withColumn("all", F.lit(0)), "all")), "cov")
 
 
 @query(COV.format(k="a.image_key AS key,", g="a.image_key,"))
 def region_covariance(spark, d):
-    return rounded(linalg.covariance(first_bands(spark, d), "image_key"))
+    return unsigned_zero(rounded(linalg.covariance(pixels(spark, d), "image_key")), "cov")
 
 
 @query(f"WITH {TALL} SELECT image_key, CAST(band AS INTEGER) AS band, round(sum(v), 6) AS total, round(stddev_pop(v), 6) AS sd FROM t GROUP BY 1, 2 HAVING sum(v) <> 0 AND stddev_pop(v) > 1e-6")
@@ -109,16 +116,15 @@ def band_zero_variance(spark, d):
     return rounded(raster.usable_bands(pixels(spark, d)))
 
 
-@query(f"""WITH {TALL} SELECT vec_id, CAST(band AS INTEGER) AS band, round(ln(abs(v) * 0.025 / (2.5e-28 / (exp(0.0143878 / ((400 + 10 * band) * 1e-9) / 5778) - 1) / pow((400 + 10 * band) * 1e-9, 5)) + 1e-6), 6) AS value
-    FROM t WHERE band <= 16""")
+@query(f"""WITH {TALL} SELECT vec_id, CAST(band AS INTEGER) AS band, round(ln(abs(v) * 0.025 / (2.5e-28 / (exp(0.0143878 / ((400 + 10 * band) * 1e-9) / 5778) - 1) / pow((400 + 10 * band) * 1e-9, 5)) + 1e-6), 6) AS value FROM t""")
 def log_normalize(spark, d):
-    t = tall(pixels(spark, d), 16)
+    t = tall(pixels(spark, d))
     return t.select("vec_id", "band", r6(raster.normalize(F.abs("value"), F.lit(0.025), (F.lit(400) + 10 * F.col("band")).cast("double"))).alias("value"))
 
 
-@query(f"WITH {PX} SELECT vec_id, list_max(s[1:2]) > 0 AS in_mask FROM px")
+@query(f"WITH {PX} SELECT vec_id, list_max(s) > 0 AS in_mask FROM px")
 def union_mask(spark, d):
-    return raster.union_mask(first_bands(spark, d, 2)).select("vec_id", "in_mask")
+    return raster.union_mask(pixels(spark, d)).select("vec_id", "in_mask")
 
 
 def grid_mask(spark, d):
@@ -206,13 +212,13 @@ def rgb_stretch(spark, d):
 
 
 MEANS = "m AS (SELECT image_key, band, avg(v) AS m FROM t GROUP BY 1, 2)"
-BASIS = [[1.0 if i == k else 0.5 if i == k + 1 else 0.0 for i in range(8)] for k in range(3)]
+BASIS = [[1.0 if i == k else 0.5 if i == k + 1 else 0.0 for i in range(64)] for k in range(3)]
 
 
-@query(f"""WITH {TALL}, {MEANS}, c AS (SELECT vec_id, band, v - m AS u FROM t JOIN m USING (image_key, band) WHERE band <= 8)
+@query(f"""WITH {TALL}, {MEANS}, c AS (SELECT vec_id, band, v - m AS u FROM t JOIN m USING (image_key, band))
     SELECT vec_id, CAST(k AS INTEGER) AS component, round(sum(u * CASE WHEN band = k THEN 1.0 WHEN band = k + 1 THEN 0.5 ELSE 0.0 END), 6) AS value FROM c, range(1, 4) AS g(k) GROUP BY 1, 2""")
 def project_fixed_basis(spark, d):
-    p = first_bands(spark, d)
+    p = pixels(spark, d)
     m = linalg.means(tall(p))
     out = p.join(m, "image_key").select("vec_id", F.posexplode(linalg.project(F.col("spectrum"), F.col("mean"), BASIS)).alias("k", "value"))
     return out.select("vec_id", (F.col("k") + 1).alias("component"), r6("value").alias("value"))
@@ -259,10 +265,10 @@ def mahalanobis_sq(spark, d):
 
 
 @query(f"""WITH {TALL}, rows AS (SELECT y, row_number() OVER (ORDER BY y) AS up, row_number() OVER (ORDER BY y DESC) AS down FROM (SELECT DISTINCT y FROM px)),
-    n AS (SELECT y, x, band, lead(v) OVER (PARTITION BY y, band ORDER BY x) - v AS diff FROM t WHERE band <= 4)
-    SELECT y, x, CAST(band AS INTEGER) AS band, round(diff, 6) AS diff FROM n JOIN rows USING (y) WHERE up > 2 AND down > 2 AND diff IS NOT NULL""")
+    n AS (SELECT y, x, band, lead(v) OVER (PARTITION BY y, band ORDER BY x) - v AS diff FROM t)
+    SELECT y, x, CAST(band AS INTEGER) AS band, round(diff, 6) + 0.0 AS diff FROM n JOIN rows USING (y) WHERE up > 2 AND down > 2 AND diff IS NOT NULL""")
 def noise_difference(spark, d):
-    return rounded(raster.noise_difference(pixels(spark, d).withColumn("image_key", F.lit(0)), skip=2).select("y", "x", "band", "diff"))
+    return unsigned_zero(rounded(raster.noise_difference(pixels(spark, d).withColumn("image_key", F.lit(0)), skip=2).select("y", "x", "band", "diff")), "diff")
 
 
 SCORED = ASSIGN + ", sc AS (SELECT vec_id, image_key, cluster, dist2, c[1]*c[1]/4.0 + c[2]*c[2]/2.0 + c[3]*c[3]/1.0 + c[4]*c[4]/0.5 AS mahalanobis FROM a)"
@@ -439,9 +445,21 @@ def kv_lookup(spark, d):
     return kv.lookup(e.select(F.col("user_id").cast("string").alias("key")), e.select(F.col("event_id").cast("string").alias("key"), F.col("props").alias("value")))
 
 
+def shared_folder(spark, name):
+    """A new folder that all executors share: below spark.checkpoint.dir, or a temporary one in local mode only."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="bandloom-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 @query("SELECT CAST(event_id AS VARCHAR) AS key FROM events WHERE CAST(event_id AS VARCHAR) BETWEEN '100' AND '300'")
 def kv_range_scan(spark, d):
-    return read(spark, d, "events").select(F.col("event_id").cast("string").alias("key")).filter(F.col("key").between("100", "300"))
+    path = shared_folder(spark, "kv")
+    kv.put(read(spark, d, "events").select(F.col("event_id").cast("string").alias("key"), F.to_json(F.struct("event_id")).alias("value")), path)
+    return kv.scan(spark, path, "100", "300").select("key")
 
 
 @query("SELECT page_id, 'C' || (page_id % 50) || '-' || substr(url, length(url) - 24, 5) || '-' || substr(url, length(url) - 10, 3) AS id FROM pages WHERE length(url) >= 25")
@@ -519,8 +537,8 @@ def band_alignment(spark, d):
 # ---- not expressible in SQL: rows only here, NumPy in the tests
 
 
-def model(spark, d, bands=8):
-    return linalg.pca(linalg.covariance(first_bands(spark, d, bands), "image_key"))
+def model(spark, d):
+    return linalg.pca(linalg.covariance(pixels(spark, d), "image_key"))
 
 
 @query()
@@ -593,18 +611,16 @@ def wkt_points(spark, d):
 
 @query("SELECT event_type AS key, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE json_valid(props) GROUP BY 1")
 def stream_ingest(spark, d):
-    """Events read as a stream into a table by foreachBatch, summed as a batch would."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp()
-    base = f"{base}/stream-{uuid.uuid4().hex[:12]}"
-    schema = read(spark, d, "events").schema
-    s = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(d)
-    s = s.filter(F.try_parse_json("props").isNotNull())
-    s.writeStream.foreachBatch(lambda df, _: df.write.mode("append").parquet(f"{base}/out")).option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(schema).parquet(f"{base}/out").groupBy(F.col("event_type").alias("key")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    """Events read as a stream through ingest; its catalog output summed as a batch would be."""
+    base = shared_folder(spark, "stream")
+    events = read(spark, d, "events")
+    s = spark.readStream.schema(events.schema).option("pathGlobFilter", "events*.parquet").parquet(d)
+    keys = s.filter(F.try_parse_json("props").isNotNull()).select(F.col("event_id").cast("string").alias("key"))
+
+    def convert(todo):
+        e = events.withColumn("key", F.col("event_id").cast("string"))
+        return todo.join(e, "key").select("key", F.lit(True).alias("ok"), F.col("key").alias("file"), "event_type", "value")
+
+    catalog = {"events": (f"{base}/out", lambda done: done.select("event_type", "value"))}
+    ingest.ingest(keys, f"{base}/status", convert, f"{base}/ck", outputs=catalog).awaitTermination()
+    return spark.read.schema("event_type string, value double").parquet(f"{base}/out").groupBy(F.col("event_type").alias("key")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))

@@ -59,3 +59,34 @@ def explained_text(ratios: Column) -> Column:
 
 def catalog_record(directory: Column, start: Column, radiance: Column, corners: Column) -> Column:
     return F.to_json(F.struct(directory.alias("directory"), F.unix_millis(start).alias("acquisition_start"), radiance.alias("radiance"), corners.alias("corners")))
+
+
+def _l1t(json: Column, group: str, name: str) -> Column:
+    return F.get_json_object(json, f"$.L1T.L1_METADATA_FILE.{group}.{name}")
+
+
+def acquisition_start(json: Column) -> Column:
+    """Milliseconds of the start time in image metadata; null if it is missing or does not parse."""
+    return F.unix_millis(start_time(_l1t(json, "PRODUCT_METADATA", "START_TIME")))
+
+
+def acquisition_end(json: Column) -> Column:
+    return F.unix_millis(start_time(_l1t(json, "PRODUCT_METADATA", "END_TIME")))
+
+
+def sun_azimuth(json: Column) -> Column:
+    return _l1t(json, "PRODUCT_PARAMETERS", "SUN_AZIMUTH").try_cast("double")
+
+
+def sun_elevation(json: Column) -> Column:
+    return _l1t(json, "PRODUCT_PARAMETERS", "SUN_ELEVATION").try_cast("double")
+
+
+def sensor_look_angle(json: Column) -> Column:
+    return _l1t(json, "PRODUCT_PARAMETERS", "SENSOR_LOOK_ANGLE").try_cast("double")
+
+
+def radiance_scaling(json: Column) -> Column:
+    """Map from name to factor; empty if there is none."""
+    found = F.from_json(F.get_json_object(json, "$.L1T.L1_METADATA_FILE.RADIANCE_SCALING"), "map<string,double>")
+    return F.coalesce(found, F.create_map().cast("map<string,double>"))

@@ -42,21 +42,31 @@ def mahalanobis2(center: Column, eigenvalues: Column) -> Column:
     return F.aggregate(F.zip_with(center, eigenvalues, lambda x, e: x * x / e), F.lit(0.0), lambda a, v: a + v)
 
 
+def nearest_center(data: np.ndarray, centers: np.ndarray, block: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+    """Number and squared distance of each row's nearest centre, the lowest of equals, in blocks of rows."""
+    labels, least = np.empty(len(data), int), np.empty(len(data))
+    for i in range(0, len(data), block):
+        d = ((data[i : i + block, None] - centers[None]) ** 2).sum(2)
+        labels[i : i + block] = d.argmin(1)
+        least[i : i + block] = d.min(1)
+    return labels, least
+
+
 def lloyd(data: np.ndarray, centers: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Centres and labels; empty clusters keep their centre; ends when all moves are under MOVED and over half under
     HARDLY, or after the rounds."""
     for _ in range(rounds):
-        labels = ((data[:, None] - centers[None]) ** 2).sum(2).argmin(1)
+        labels = nearest_center(data, centers)[0]
         new = np.stack([data[labels == k].mean(0) if (labels == k).any() else centers[k] for k in range(len(centers))])
         moved = np.abs(new - centers)
         centers = new
         if moved.max() < MOVED and (moved < HARDLY).mean() > 0.5:
             break
-    return centers, ((data[:, None] - centers[None]) ** 2).sum(2).argmin(1)
+    return centers, nearest_center(data, centers)[0]
 
 
 def cluster_quality(data: np.ndarray, centers: np.ndarray) -> float:
-    return float(np.sqrt(((data[:, None] - centers[None]) ** 2).sum(2).min(1).sum()))
+    return float(np.sqrt(nearest_center(data, centers)[1].sum()))
 
 
 def kmeans(data: np.ndarray, clusters: int, seed: int, trials: int = TRIALS, refine: int = REFINE) -> tuple[np.ndarray, np.ndarray]:
@@ -91,6 +101,26 @@ def anomalies(scored: DataFrame, fraction: float = 0.01) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).withColumn("n", F.count(F.lit(1)).over(w)).filter(F.col("rank") <= F.round(F.col("n") * fraction)).drop("n")
 
 
+def anomalous_labels(top: DataFrame) -> DataFrame:
+    """image_key, cluster: the clusters that have one of the top pixels at least."""
+    return top.select("image_key", "cluster").distinct()
+
+
+def anomalous_clusters(assigned: DataFrame, top: DataFrame) -> DataFrame:
+    """image_key, cluster, n, center_y, center_x of the clusters with a top pixel, over all pixels of theirs in
+    assigned(image_key, vec_id, y, x, cluster, dist2): the centre pixel is the nearest to the centre, the lowest vec_id
+    of equals."""
+    a = assigned.join(anomalous_labels(top), ["image_key", "cluster"], "left_semi")
+    near = F.min_by(F.struct("y", "x"), F.struct("dist2", "vec_id"))
+    return a.groupBy("image_key", "cluster").agg(F.count(F.lit(1)).alias("n"), near.alias("c")).select("image_key", "cluster", "n", F.col("c.y").alias("center_y"), F.col("c.x").alias("center_x"))
+
+
+def center_vectors(clusters: DataFrame, centers: Sequence[Sequence[float]]) -> DataFrame:
+    """clusters with center, the vector of their centre."""
+    table = F.array(*[F.array(*map(F.lit, map(float, c))) for c in centers])
+    return clusters.withColumn("center", F.get(table, F.col("cluster")))
+
+
 def label_regions(grid: np.ndarray) -> np.ndarray:
     """8-neighbour components of the true cells, labels dense from 1 in row order."""
     out, label = np.zeros(grid.shape, np.int32), 0

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import geo
 
 # The move and the crossed edges of each corner state (1 2 4 8 mark the cells above left, above right,
 # below left, below right); states 6 and 9 depend on the move that led there.
@@ -102,6 +107,33 @@ def contours(positions: DataFrame, nx: int, ny: int, width: int, height: int, sm
     return positions.groupBy("image_key", "cluster").applyInPandas(run, RECORD)
 
 
+def records(contours: DataFrame, width: float, height: float, lng: Mapping, lat: Mapping) -> DataFrame:
+    """contours with area_pixels, area_m2, perimeter_m, lng, lat: sizes without sign, in pixels and on the ground, and
+    the centroid's place, by the image's nine points."""
+    to_place = lambda x, y: (geo.lnglat(x, y, width, height, lng), geo.lnglat(x, y, width, height, lat))
+    to_ground = lambda x, y: geo.meters(*to_place(x, y), F.lit(float(lng["mm"])), F.lit(float(lat["mm"])))
+    c = contours.withColumns({"_ground": geo.moved(F.col("polygon"), to_ground), "_c": geo.centroid(F.col("polygon"))})
+    place = to_place(F.col("_c.x"), F.col("_c.y"))
+    out = c.withColumns({"area_pixels": F.abs(geo.area(F.col("polygon"))), "area_m2": F.abs(geo.area(F.col("_ground"))), "perimeter_m": geo.perimeter(F.col("_ground")), "lng": place[0], "lat": place[1]})
+    return out.drop("_ground", "_c")
+
+
+def score_pairs(contours: DataFrame, pixels: DataFrame, clusters: DataFrame) -> DataFrame:
+    """image_key, cluster, contour_id, cluster_score, contour_score of contours(image_key, cluster, contour_id, polygon).
+
+    cluster_score is that of clusters(image_key, cluster, mahalanobis). contour_score is the mean distance to the centre
+    of the pixels(image_key, cluster, vec_id, y, x, dist2) at the rounded vertices, if all of them are pixels of the
+    image; else that of the pixels nearest to the vertices (contour_scores).
+    """
+    vertices = contours.select("image_key", "cluster", "contour_id", F.explode("polygon").alias("p")).select("image_key", "cluster", "contour_id", F.round("p.x").cast("int").alias("x"), F.round("p.y").cast("int").alias("y"))
+    at = vertices.join(pixels.select("image_key", "y", "x", "dist2"), ["image_key", "y", "x"], "left")
+    exact = at.groupBy("image_key", "cluster", "contour_id").agg(F.when(F.bool_and(F.col("dist2").isNotNull()), F.avg(F.sqrt("dist2"))).alias("exact"))
+    near = contour_scores(contours.select("image_key", "cluster", "contour_id", "polygon"), pixels.select("image_key", "cluster", "vec_id", "y", "x", "dist2"))
+    keys = ["image_key", "cluster", "contour_id"]
+    both = contours.select(*keys).join(exact, keys, "left").join(near, keys, "left").join(clusters.select("image_key", "cluster", "mahalanobis"), ["image_key", "cluster"])
+    return both.select(*keys, F.col("mahalanobis").alias("cluster_score"), F.coalesce("exact", "score").alias("contour_score"))
+
+
 def contour_scores(contours: DataFrame, pixels: DataFrame) -> DataFrame:
     """image_key, cluster, contour_id, score: mean centre distance of the cluster's pixels nearest to the contour's
     vertices; contours has contour_id and polygon, pixels has y, x, vec_id, dist2. The nearest pixel is sought among

@@ -89,6 +89,159 @@ def contains(polygon: Column, x: Column, y: Column) -> Column:
     return F.exists(edges, on) | odd
 
 
+def corner_lnglat(corners: DataFrame, width: float, height: float, lng: Mapping, lat: Mapping) -> DataFrame:
+    """corners(image_key, left_x, left_y, ...) of raster.corners as left_lng, left_lat, ... from the image's nine points."""
+    at = lambda side, points: lnglat(F.col(f"{side}_x"), F.col(f"{side}_y"), width, height, points)
+    return corners.select("image_key", *[at(s, p).alias(f"{s}_{n}") for s in ("left", "top", "right", "bottom") for n, p in (("lng", lng), ("lat", lat))])
+
+
+def area_with_holes(rings: Column) -> Column:
+    """Area of array<polygon>: the outer ring less the holes."""
+    size = F.transform(rings, lambda r: F.abs(area(r)))
+    return F.coalesce(F.get(size, F.lit(0)) * 2, F.lit(0.0)) - F.aggregate(size, F.lit(0.0), lambda a, v: a + v)
+
+
+def contains_with_holes(rings: Column, x: Column, y: Column) -> Column:
+    """Whether a point is in the outer ring and in no hole."""
+    holes = F.slice(rings, 2, F.greatest(F.size(rings) - 1, F.lit(0)))
+    return contains(F.get(rings, F.lit(0)), x, y) & ~F.exists(holes, lambda r: contains(r, x, y))
+
+
+def _pairs(line: Column) -> Column:
+    n = F.greatest(F.size(line) - 1, F.lit(0))
+    return F.zip_with(F.slice(line, 1, n), F.slice(line, 2, n), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+
+
+def length(line: Column) -> Column:
+    """Length of an open line."""
+    step = lambda e: F.sqrt(F.pow(e["p"]["x"] - e["q"]["x"], F.lit(2.0)) + F.pow(e["p"]["y"] - e["q"]["y"], F.lit(2.0)))
+    return F.aggregate(_pairs(line), F.lit(0.0), lambda a, e: a + step(e))
+
+
+def geodesic_length_km(line: Column) -> Column:
+    """Great-circle length of a line of (lng, lat) points."""
+    return F.aggregate(_pairs(line), F.lit(0.0), lambda a, e: a + haversine_km(e["p"]["x"], e["p"]["y"], e["q"]["x"], e["q"]["y"]))
+
+
+def segment_distance(x: Column, y: Column, p: Column, q: Column) -> Column:
+    """Distance of a point from the segment from p to q."""
+    dx, dy = q["x"] - p["x"], q["y"] - p["y"]
+    t = F.coalesce(((x - p["x"]) * dx + (y - p["y"]) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0))
+    t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
+    return F.sqrt(F.pow(x - p["x"] - t * dx, F.lit(2.0)) + F.pow(y - p["y"] - t * dy, F.lit(2.0)))
+
+
+def line_distance(line: Column, x: Column, y: Column) -> Column:
+    """Least distance of a point from a line; from a polygon's edge if its ring is closed."""
+    return F.array_min(F.transform(_pairs(line), lambda e: segment_distance(x, y, e["p"], e["q"])))
+
+
+def closed(ring: Column) -> Column:
+    """The ring as a line that returns to its first point."""
+    return F.concat(ring, F.slice(ring, 1, 1))
+
+
+def polygon_distance(rings: Column, x: Column, y: Column) -> Column:
+    """Distance of a point from a polygon with holes: 0 inside."""
+    edge = F.array_min(F.transform(rings, lambda r: line_distance(closed(r), x, y)))
+    return F.when(contains_with_holes(rings, x, y), F.lit(0.0)).otherwise(edge)
+
+
+def crossing(a: Column, b: Column) -> Column:
+    """struct(x, y) where two segments struct(p, q) cross, or null; parallel ones do not."""
+    dx1, dy1 = a["q"]["x"] - a["p"]["x"], a["q"]["y"] - a["p"]["y"]
+    dx2, dy2 = b["q"]["x"] - b["p"]["x"], b["q"]["y"] - b["p"]["y"]
+    d = F.nullif(dx1 * dy2 - dy1 * dx2, F.lit(0.0))
+    t = ((b["p"]["x"] - a["p"]["x"]) * dy2 - (b["p"]["y"] - a["p"]["y"]) * dx2) / d
+    u = ((b["p"]["x"] - a["p"]["x"]) * dy1 - (b["p"]["y"] - a["p"]["y"]) * dx1) / d
+    return F.when(t.between(0, 1) & u.between(0, 1), F.struct((a["p"]["x"] + t * dx1).alias("x"), (a["p"]["y"] + t * dy1).alias("y")))
+
+
+def crossings(line: Column, other: Column) -> Column:
+    """All points in which two lines cross."""
+    each = F.flatten(F.transform(_pairs(line), lambda a: F.transform(_pairs(other), lambda b: crossing(a, b))))
+    return F.filter(each, lambda p: p.isNotNull())
+
+
+def rings_intersect(ring: Column, other: Column) -> Column:
+    """Whether two rings share a point: edges cross, or one holds the other."""
+    first = lambda r: F.get(r, F.lit(0))
+    inside = contains(ring, first(other)["x"], first(other)["y"]) | contains(other, first(ring)["x"], first(ring)["y"])
+    return inside | (F.size(crossings(closed(ring), closed(other))) > 0)
+
+
+def split_line(points: Sequence[tuple[float, float]], by: Sequence[tuple[float, float]]) -> list[list[tuple[float, float]]]:
+    """The parts into which a line falls where another crosses it."""
+    parts, part = [], [tuple(points[0])]
+    for a, b in zip(points, points[1:], strict=False):
+        cuts = {c for p, q in zip(by, by[1:], strict=False) if (c := segments_intersect((*a, *b), (*p, *q)))}
+        for c in sorted(cuts, key=lambda c: (c[0] - a[0]) ** 2 + (c[1] - a[1]) ** 2):
+            if c != part[-1]:
+                part.append(c)
+            if len(part) > 1:
+                parts.append(part)
+            part = [c]
+        if tuple(b) != part[-1]:
+            part.append(tuple(b))
+    return parts + [part] * (len(part) > 1)
+
+
+def split(line: Column, by: Column) -> Column:
+    """split_line over columns of points: array<array<struct<x, y>>>."""
+
+    @F.pandas_udf("array<array<struct<x: double, y: double>>>")
+    def run(lines: pd.Series, others: pd.Series) -> pd.Series:
+        xy = lambda ps: [(p["x"], p["y"]) for p in ps]
+        return pd.Series([[[{"x": x, "y": y} for x, y in part] for part in split_line(xy(a), xy(b))] if len(a) else [] for a, b in zip(lines, others, strict=True)])
+
+    return run(line, by)
+
+
+def destination(lng: pd.Series, lat: pd.Series, bearing: pd.Series, meters_: pd.Series) -> pd.DataFrame:
+    """lng, lat of the place on the ellipsoid at a bearing (degrees from north) and distance. For use in a pandas UDF."""
+    a, b, f = ELLIPSOID_A, ELLIPSOID_B, FLATTENING
+    lat, az, s = np.radians(np.asarray(lat, float)), np.radians(np.asarray(bearing, float)), np.asarray(meters_, float)
+    tan_u = (1 - f) * np.tan(lat)
+    cos_u = 1 / np.sqrt(1 + tan_u**2)
+    sin_u = tan_u * cos_u
+    along = np.arctan2(tan_u, np.cos(az))
+    sin_a = cos_u * np.sin(az)
+    cos2 = 1 - sin_a**2
+    k = cos2 * (a * a - b * b) / (b * b)
+    big = 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k)))
+    small = k / 1024 * (256 + k * (-128 + k * (74 - 47 * k)))
+    sigma = s / (b * big)
+    for _ in range(20):
+        mid = np.cos(2 * along + sigma)
+        fix = small * np.sin(sigma) * (mid + small / 4 * (np.cos(sigma) * (2 * mid**2 - 1) - small / 6 * mid * (4 * np.sin(sigma) ** 2 - 3) * (4 * mid**2 - 3)))
+        sigma = s / (b * big) + fix
+    mid = np.cos(2 * along + sigma)
+    sin_s, cos_s = np.sin(sigma), np.cos(sigma)
+    lat2 = np.arctan2(sin_u * cos_s + cos_u * sin_s * np.cos(az), (1 - f) * np.hypot(sin_a, sin_u * sin_s - cos_u * cos_s * np.cos(az)))
+    lam = np.arctan2(sin_s * np.sin(az), cos_u * cos_s - sin_u * sin_s * np.cos(az))
+    c = f / 16 * cos2 * (4 + f * (4 - 3 * cos2))
+    shift = lam - (1 - c) * f * sin_a * (sigma + c * sin_s * (mid + c * cos_s * (2 * mid**2 - 1)))
+    return pd.DataFrame({"lng": np.asarray(lng, float) + np.degrees(shift), "lat": np.degrees(lat2)})
+
+
+def destinations(lng: Column, lat: Column, bearing: Column, meters_: Column) -> Column:
+    return F.pandas_udf(destination, "lng double, lat double")(lng, lat, bearing, meters_)
+
+
+def vincenty(lng1: Column, lat1: Column, lng2: Column, lat2: Column) -> Column:
+    """vincenty_km over columns."""
+    return F.pandas_udf(vincenty_km, "double")(lng1, lat1, lng2, lat2)
+
+
+def collection(rings: Column) -> Column:
+    """struct(length, area, left, bottom, right, top, x, y) of array<polygon>: sums, bounds, and the centroid weighted by
+    area; null centroid when there is no area."""
+    add = lambda f: F.aggregate(F.transform(rings, f), F.lit(0.0), lambda a, v: a + v)
+    all_points, whole = F.flatten(rings), add(lambda r: F.abs(area(r)))
+    at = lambda c: add(lambda r: F.coalesce(centroid(r)[c], F.lit(0.0)) * F.abs(area(r))) / F.nullif(whole, F.lit(0.0))
+    return F.struct(add(perimeter).alias("length"), whole.alias("area"), bounds(all_points)["left"].alias("left"), bounds(all_points)["bottom"].alias("bottom"), bounds(all_points)["right"].alias("right"), bounds(all_points)["top"].alias("top"), at("x").alias("x"), at("y").alias("y"))
+
+
 def haversine_km(lng1: Column, lat1: Column, lng2: Column, lat2: Column) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), F.lit(2.0)) + F.pow(F.sin(F.radians(lng2 - lng1) / 2), F.lit(2.0)) * F.cos(F.radians(lat1)) * F.cos(F.radians(lat2))
     return F.lit(2 * SPHERE / 1000) * F.atan2(F.sqrt(a), F.sqrt(1 - a))

@@ -122,9 +122,33 @@ def rgb_stretch(pixels: DataFrame, bands: Sequence[int]) -> DataFrame:
     return three.join(ends, "image_key").select("image_key", "vec_id", *map(stretch, "rgb"))
 
 
+def scaled_bytes(values: DataFrame, column: str, key: str = "image_key") -> DataFrame:
+    """values with the column as 0..255 between its least and greatest of the key; 0 where all are equal."""
+    ends = values.groupBy(key).agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
+    share = (F.col(column) - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
+    return values.join(ends, key).withColumn(column, F.coalesce((255 * share).cast("int"), F.lit(0))).drop("_lo", "_hi")
+
+
+def spectrum_at(pixels: DataFrame, points: DataFrame) -> DataFrame:
+    """The pixels at points(image_key, y, x); points outside an image vanish."""
+    return pixels.join(points.select("image_key", "y", "x").distinct(), ["image_key", "y", "x"])
+
+
+def spectrum_curve(pixels: DataFrame, wavelength: Column) -> DataFrame:
+    """image_key, y, x, wavelength, value: a row for each band, by the wavelength of band."""
+    return tall(pixels).select("image_key", "y", "x", wavelength.alias("wavelength"), "value")
+
+
+def calibrated(tall_pixels: DataFrame, multipliers: DataFrame, wavelengths: DataFrame, log: bool = True) -> DataFrame:
+    """Rows of tall pixels(band, value) whose band has a multiplier(band, multiplier) and a wavelength(band, nm), with
+    value normalised. The band tables have a row a band."""
+    t = tall_pixels.join(multipliers, "band").join(wavelengths, "band")
+    return t.withColumn("value", normalize(F.col("value"), F.col("multiplier"), F.col("nm"), log)).drop("multiplier", "nm")
+
+
 def noise_difference(pixels: DataFrame, skip: int = 10) -> DataFrame:
     """image_key, y, x, band, diff: next masked pixel of the row minus this one, without the first and last rows."""
-    t = tall(pixels, 4)
+    t = tall(pixels)
     rows = pixels.select("image_key", "y").distinct()
     w = Window.partitionBy("image_key")
     rows = rows.withColumns({"up": F.row_number().over(w.orderBy("y")), "down": F.row_number().over(w.orderBy(F.desc("y")))}).filter((F.col("up") > skip) & (F.col("down") > skip)).select("image_key", "y")

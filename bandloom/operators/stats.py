@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,6 +58,25 @@ def outliers(pairs: DataFrame) -> DataFrame:
     return m.agg(best("correlation").alias("by_correlation"), best("chi2").alias("by_chi2"))
 
 
+def run_means(statistics: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: images and the mean of each statistic over all images of a run."""
+    return statistics.agg(F.count(F.lit(1)).alias("images"), *[F.avg(c).alias(c) for c in columns])
+
+
+def outlier_image(pairs: DataFrame) -> DataFrame:
+    """One row, outlier: the key whose histogram has the greatest mean ratio of correlation to chi2 to all others, above
+    0; the lowest key of equals. Pairs without difference have an infinite ratio."""
+    ratio = F.when(F.col("chi2") == 0, F.lit(float("inf"))).otherwise(F.col("correlation") / F.nullif("chi2", F.lit(0.0)))
+    m = pairs.groupBy("a").agg(F.avg(ratio).alias("ratio"))
+    return m.agg(F.max_by("a", F.when(F.col("ratio") > 0, F.struct("ratio", -F.col("a")))).alias("outlier"))
+
+
+def run_summary(statistics: DataFrame, histograms: DataFrame, pixels: str = "num_pixels") -> DataFrame:
+    """One row: images, average_pixels, outlier, of statistics(image_key, pixels) and histograms(image_key, bin, n)."""
+    s = statistics.agg(F.count(F.lit(1)).alias("images"), F.avg(pixels).alias("average_pixels"))
+    return s.join(F.broadcast(outlier_image(similarity(histograms, "image_key"))))  # one row each
+
+
 def position_histogram(pixels: DataFrame, key: str, width: int, height: int, bin_size: int) -> DataFrame:
     """key, ix, iy, n over int(W/size) x int(H/size) equal bins, the last ones closed."""
     nx, ny = width // bin_size, height // bin_size

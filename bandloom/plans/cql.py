@@ -208,3 +208,8 @@ def styled(rules: list[tuple[dict | None, str, bool]], default: str | None) -> C
 def page(order: Column, size: int, number: int) -> Column:
     """Whether the row number (from 1) lies in a page (from 0) of fixed length."""
     return order.between(size * number + 1, size * (number + 1))
+
+
+def function(name: str, *parameters: Column) -> Column:
+    """A filter by a function of the session, by its name."""
+    return F.call_function(name, *parameters)

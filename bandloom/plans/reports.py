@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from html import escape
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,7 +21,7 @@ def catalog_bounds(catalog: DataFrame) -> DataFrame:
 
 
 def catalog_json(catalog: DataFrame) -> DataFrame:
-    """The catalog as one JSON object, for catalogs that a page can show."""
+    """The catalog as one JSON object, for catalogs that a page can show; its two field names are fixed values."""
     row = F.struct(*catalog.columns)
     return catalog.agg(F.to_json(F.struct(F.array_sort(F.collect_list(row)).alias("hyperion"), F.array().cast("array<string>").alias("ali"))).alias("json"))
 
@@ -41,9 +41,44 @@ def top_contours(rows: DataFrame, n: int = 10) -> DataFrame:
     return rows.orderBy(F.desc("cluster_score"), F.desc("contour_score"), "id").limit(n)
 
 
+def run_report(summary: DataFrame, contours: DataFrame, n: int = 10) -> DataFrame:
+    """rank, id, cluster_score, contour_score, images, average_pixels, outlier: the first contours of a run, each with
+    the run's one row of summary; a run without contours has no rows."""
+    top = top_contours(contours, n)
+    rank = F.row_number().over(Window.orderBy(F.desc("cluster_score"), F.desc("contour_score"), "id"))  # of n rows
+    return top.withColumn("rank", rank).join(F.broadcast(summary.limit(1)))
+
+
+def image_contours(contours: DataFrame) -> DataFrame:
+    """image_key, contours: each image's table of its contours(image_key, id, area_m2, lng, lat, cluster_score,
+    contour_score), best first, as a page shows it."""
+    row = F.struct((-F.col("cluster_score")).alias("o1"), (-F.col("contour_score")).alias("o2"), "id", F.round("area_m2", 3).alias("area_m2"), F.round("lng", 5).alias("lng"), F.round("lat", 5).alias("lat"))
+    return contours.groupBy("image_key").agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: F.concat_ws("|", r["id"], r["area_m2"], r["lng"], r["lat"])).alias("contours"))
+
+
+def spectra_pages(spectra: DataFrame) -> DataFrame:
+    """page, value, images of spectra(image_key, value): one page for equal contents, named by their SHA-224."""
+    named = spectra.withColumn("page", F.sha2(F.col("value").cast("binary"), 224))
+    return named.groupBy("page").agg(F.first("value").alias("value"), F.count_distinct("image_key").alias("images"))
+
+
+def svg_overlay(width: int, height: int, png_base64: Column, paths: Column) -> Column:
+    """An image with closed polygons over it, as one SVG document; paths is an array of svg()."""
+    head = F.concat(F.lit(f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{height}"><image width="{width}" height="{height}" href="data:image/png;base64,'), png_base64, F.lit('"/>'))
+    return F.concat(head, F.array_join(paths, ""), F.lit("</svg>"))
+
+
+def svg_curve(points: Column, width: float, height: float) -> Column:
+    """A path through array<struct<x, y>>, stretched over width and height."""
+    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
+    at = lambda v, all_, size: F.coalesce((v - F.array_min(all_)) / F.nullif(F.array_max(all_) - F.array_min(all_), F.lit(0.0)), F.lit(0.0)) * size
+    pts = F.transform(points, lambda p: F.concat_ws(",", F.round(at(p["x"], xs, width), 2), F.round(F.lit(height) - at(p["y"], ys, height), 2)))
+    return F.concat(F.lit('<path fill="none" d="M'), F.array_join(pts, " L"), F.lit('"/>'))
+
+
 def svg(width: int, height: int, polygon: Column, color: Column) -> Column:
     """One closed polygon as an SVG path."""
-    pts = F.transform(polygon, lambda p: F.concat_ws(",", F.format_number(p["x"], "0.##"), F.format_number(p["y"], "0.##")))
+    pts = F.transform(polygon, lambda p: F.concat_ws(",", F.round(p["x"], 2), F.round(p["y"], 2)))
     return F.concat(F.lit('<path fill="none" stroke="'), color, F.lit('" d="M'), F.array_join(pts, " L"), F.lit(' Z"/>'))
 
 

@@ -12,7 +12,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 #: Fixed type codes of the record envelope.
@@ -38,6 +37,30 @@ def rgba_encode(rgba: np.ndarray) -> bytes:
     return SIGNATURE + _chunk(b"IHDR", struct.pack(">IIBBBBB", a.shape[1], a.shape[0], 8, 6, 0, 0, 0)) + _chunk(b"IDAT", zlib.compress(rows.tobytes())) + _chunk(b"IEND", b"")
 
 
+def rgba_image(channels: np.ndarray, mask: np.ndarray) -> bytes:
+    """RGBA PNG of channels (height x width x 3), last channel first, opaque where mask is over 0."""
+    alpha = (np.asarray(mask) > 0) * 255
+    return rgba_encode(np.concatenate([np.asarray(channels)[:, :, ::-1], alpha[:, :, None]], axis=2))
+
+
+def rgba_decode(data: bytes) -> np.ndarray:
+    """The height x width x 4 bytes of an RGBA PNG without filters."""
+    if data[:8] != SIGNATURE:
+        raise ValueError("not a PNG")
+    at, body, head = 8, b"", None
+    while at < len(data):
+        (n,), kind = struct.unpack(">I", data[at : at + 4]), data[at + 4 : at + 8]
+        head = struct.unpack(">IIBBBBB", data[at + 8 : at + 8 + n]) if kind == b"IHDR" else head
+        body += data[at + 8 : at + 8 + n] if kind == b"IDAT" else b""
+        at += 12 + n
+    if not head or head[2:] != (8, 6, 0, 0, 0):
+        raise ValueError("only RGBA images of 8 bits")
+    rows = np.frombuffer(zlib.decompress(body), np.uint8).reshape(head[1], -1)
+    if rows[:, 0].any():
+        raise ValueError("filtered rows")
+    return rows[:, 1:].reshape(head[1], head[0], 4)
+
+
 def png_decode(data: bytes) -> np.ndarray:
     """The raster of a grey PNG without filters; ValueError for a wrong header, checksum, depth, colour or filter."""
     if data[:8] != SIGNATURE:
@@ -134,7 +157,12 @@ def metadata(text: str) -> dict:
 
 def metadata_json(text: Column) -> Column:
     """metadata() as JSON; the grammar nests, so no built-in function reads it."""
-    return F.udf(lambda t: None if t is None else json.dumps(metadata(t)), StringType())(text)
+
+    @F.pandas_udf("string")
+    def run(col: pd.Series) -> pd.Series:
+        return col.map(lambda t: None if t is None else json.dumps(metadata(t)))
+
+    return run(text)
 
 
 def envelope(code: int, payload: bytes) -> bytes:

@@ -9,7 +9,10 @@ SCHEMA = "key string, value string"
 
 
 def put(df: DataFrame, path: str, version: int | None = None) -> None:
-    """Adds rows(key, value); values that are no JSON raise. Later versions win when read."""
+    """Adds rows(key, value); values that are no JSON raise. Later versions win when read.
+
+    Of equal keys in one call the greatest value is taken when read, so that every read agrees.
+    """
     checked = df.select("key", F.when(F.try_parse_json("value").isNotNull() | F.col("value").isNull(), F.col("value")).otherwise(F.raise_error(F.lit("not JSON"))).alias("value"))
     checked.withColumn("version", F.lit(version).cast("long") if version is not None else F.unix_micros(F.current_timestamp())).write.mode("append").parquet(path)
 
@@ -21,7 +24,7 @@ def scan(spark: SparkSession, path: str, first: str | None = None, last: str | N
         t = t.filter(F.col("key") >= first)
     if last is not None:
         t = t.filter(F.col("key") <= last)
-    return t.groupBy("key").agg(F.max_by("value", "version").alias("value"))
+    return t.groupBy("key").agg(F.max_by("value", F.struct("version", "value")).alias("value"))
 
 
 def first_values(rows: DataFrame, order: str) -> DataFrame:

@@ -1,12 +1,14 @@
 """Incremental ingest with a status table and bounded retries.
 
 Status rows are (key, attempts, ok, file). Each batch tries keys never seen and keys that failed fewer than MAX_ATTEMPTS
-times, adds an attempt, and writes catalog rows for successes only.
+times, adds an attempt, and writes catalog rows for successes only. A batch has named outputs (catalog rows, file names,
+statistics), each a table of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,26 +37,51 @@ def advance(status: DataFrame, candidates: DataFrame, convert: Callable[[DataFra
     return old.unionByName(new)
 
 
-def latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest status of each key in a folder to which batches append; none when it is missing."""
+def latest(spark: SparkSession, path: str, but: tuple[str, int] | None = None) -> DataFrame:
+    """The newest status of each key in a folder with a part for each batch of each stream, leaving out a stream's
+    batches from a number on; none when the folder is missing."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         return spark.createDataFrame([], STATUS)
-    t = spark.read.schema(STATUS).parquet(path)
+    t = spark.read.schema(STATUS + ", stream string, batch long").parquet(path)
+    if but is not None:
+        t = t.filter((F.col("stream") != but[0]) | (F.col("batch") < but[1]))
     return t.groupBy("key").agg(F.max_by(F.struct("attempts", "ok", "file"), "attempts").alias("s")).select("key", "s.*")
 
 
-def ingest(files: DataFrame, status_path: str, convert: Callable[[DataFrame], DataFrame], checkpoint: str, sink: Callable[[DataFrame], None] | None = None, once: bool = True) -> StreamingQuery:
-    """Runs a stream of files(key) through convert; batches may be replayed, as attempts are counted from the table."""
+def write_batch(df: DataFrame, path: str, stream: str, batch: int) -> None:
+    """df as the part of one batch of a stream; a replay replaces it."""
+    df.write.mode("overwrite").parquet(f"{path}/stream={stream}/batch={batch}")
 
-    def batch(df: DataFrame, _: int) -> None:
+
+def checked(rows: DataFrame, column: str = "value") -> DataFrame:
+    """The rows, but for one whose column is no JSON, which raises."""
+    bad = F.col(column).isNotNull() & F.try_parse_json(column).isNull()
+    return rows.withColumn(column, F.when(bad, F.raise_error(F.lit("not JSON"))).otherwise(F.col(column)))
+
+
+def ingest(files: DataFrame, status_path: str, convert: Callable[[DataFrame], DataFrame], checkpoint: str, sink: Callable[[DataFrame], None] | None = None, outputs: Mapping[str, tuple[str, Callable[[DataFrame], DataFrame]]] | None = None, tasks: int | None = None, once: bool = True) -> StreamingQuery:
+    """Runs a stream of files(key) through convert, which takes rows(key) and returns rows(key, ok, file, ...).
+
+    outputs: by name, a folder and what to write to it from the rows that converted. All outputs of a batch are written
+    before its status, each as a part of its own that a replay replaces, and attempts are counted from the batches
+    before; so a batch that is replayed after a crash leaves the same as one that ran once. sink takes the rows that
+    converted, before the status is written, and has to bear replays itself. tasks: how many share the conversion of a
+    batch. The checkpoint names the stream; several may share one status table.
+    """
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def batch(df: DataFrame, number: int) -> None:
         spark = df.sparkSession
-        status = latest(spark, status_path)
+        status = latest(spark, status_path, (stream, number))
         todo = retries(status).select("key").unionByName(pending(df, status))
-        done = convert(todo).persist()
-        done.join(status, "key", "left").select("key", (F.coalesce("attempts", F.lit(0)) + 1).alias("attempts"), done["ok"], F.coalesce(done["file"], F.lit("")).alias("file")).write.mode("append").parquet(status_path)
+        done = convert(todo.repartition(tasks) if tasks else todo).persist()
+        for path, select in (outputs or {}).values():
+            write_batch(select(done.filter("ok")), path, stream, number)
         if sink:
             sink(done.filter("ok"))
+        counted = done.select("key", F.col("ok").alias("new_ok"), F.col("file").alias("new_file")).join(status, "key", "left")
+        write_batch(counted.select("key", (F.coalesce("attempts", F.lit(0)) + 1).alias("attempts"), F.col("new_ok").alias("ok"), F.coalesce("new_file", F.lit("")).alias("file")), status_path, stream, number)
         done.unpersist()
 
     w = files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bandloom import catalog
+from bandloom import catalog, catalog_runs  # noqa: F401  (registers queries)
 from bandloom.functions import scalar
 from bandloom.operators import cluster, contour, geo, linalg, raster, stats
 from bandloom.plans import cql, reports
