@@ -16,7 +16,8 @@ shingles last; which ones are common is estimated, and matters for the cost only
 against the first one of a bucket, which is linear and joins groups of copies; only buckets that still hold documents of
 different components go on, to rounds that take the nearest candidates of each row that the links found before do not
 connect. A candidate is left out beforehand only where the sets provably differ too much: with one parity bit a bucket
-of hashed shingles, two sets differ in at least as many shingles as their parities in bits.
+of hashed shingles, two sets differ in at least as many shingles as their parities in bits. Buckets carry a short row of parities; before texts are
+moved, pairs are tested with one of at least two bits for each shingle, which leaves little under the least similarity.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from . import common, components, words
 BITS = 64
 BLOCK, CHUNK = 1024, 100_000
 #: Parity bits of a shingle set, as long columns.
-PARITY = [f"p{i}" for i in range(4)]
+PARITY = [f"p{i}" for i in range(8)]
 #: Pairs that one step of a comparison holds, and the candidates of a row that the rounds before the last check.
 PAIRS, PARTNERS = 4_000_000, (4, 32, 256)
 #: Fingerprints of shingle sets that differ in so many bits are candidates; others are the prefix filter's.
@@ -109,8 +110,8 @@ def shingle_sets(col: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 def set_prints(docs: DataFrame, size: int, least: float) -> DataFrame:
     """doc_id of docs(doc_id, text) and, of its set of shingles of size words: a digest, its size n, PARITY, the
-    fingerprint fp, and the hashes of its prefix for similarity least, in plain (surely not in over a small share of all
-    documents) and frequent."""
+    fingerprint fp, the hashes of its prefix for similarity least, in plain (surely not in over a small share of all
+    documents) and frequent, and parities in sketch."""
     common.arrow(docs.sparkSession)
     docs = common.id_text(docs)
     top = common_shingles(docs, size)
@@ -121,24 +122,37 @@ def set_prints(docs: DataFrame, size: int, least: float) -> DataFrame:
         known, rank = sent.value
         lists = pa.list_(pa.int64())
         for b in batches:
-            digests, fps, plain, frequent = [], [], [], []
+            digests, fps, plain, frequent, sketches = [], [], [], [], []
             for s in shingle_sets(b.column("text"), size):
                 digests.append(set_digest(s))
                 fps.append(majority(s, np.array([0, len(s)]))[0])
                 first, often = prefix(s, known, rank, least)
                 plain.append(first[~often].view(np.int64))
                 frequent.append(first[often].view(np.int64))
+                sketches.append(parities(s, 1 << max(9, (2 * len(s) - 1).bit_length())).tobytes())
             columns = [*np.array(digests, np.uint64).reshape(-1, 2 + len(PARITY)).T, np.array(fps, np.uint64)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns), pa.array(plain, lists), pa.array(frequent, lists)], names)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns), pa.array(plain, lists), pa.array(frequent, lists), pa.array(sketches, pa.binary())], names)
 
-    names = ["doc_id", "digest", "n", *PARITY, "fp", "plain", "frequent"]
-    return docs.mapInArrow(run, ", ".join(f"{c} long" for c in names[:-2]) + ", plain array<long>, frequent array<long>")
+    names = ["doc_id", "digest", "n", *PARITY, "fp", "plain", "frequent", "sketch"]
+    return docs.mapInArrow(run, ", ".join(f"{c} long" for c in names[:-3]) + ", plain array<long>, frequent array<long>, sketch binary")
+
+
+def parities(grams: np.ndarray, bits: int) -> np.ndarray:
+    """One bit for each of the buckets of different hashes, in bytes; bits is a power of two."""
+    return np.packbits((np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8))
+
+
+def parities_differ(a: bytes, b: bytes) -> int:
+    """In how many bits two rows of parities differ, the longer one folded to the length of the shorter."""
+    a, b = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def set_digest(grams: np.ndarray) -> np.ndarray:
     """Sum, number and parities of different hashes."""
-    odd = np.bincount((grams % np.uint64(BITS * len(PARITY))).astype(np.int64), minlength=BITS * len(PARITY)) & 1
-    return np.concatenate([[grams.sum(dtype=np.uint64), np.uint64(len(grams))], np.packbits(odd.astype(np.uint8)).view(np.uint64)])
+    return np.concatenate([[grams.sum(dtype=np.uint64), np.uint64(len(grams))], parities(grams, BITS * len(PARITY)).view(np.uint64)])
 
 
 def similarity_bound(rows: pd.DataFrame, least: float):
@@ -380,13 +394,26 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return common.id_text(docs).join(ids, "doc_id", "left_semi")
 
 
-def similar(edges: DataFrame, docs: DataFrame, size: int, least: float) -> DataFrame:
-    """The edges(a, b), which are written, whose texts' sets of shingles of size words have a Jaccard similarity of
-    least or more.
+def allowed(edges: DataFrame, prints: DataFrame, least: float) -> DataFrame:
+    """The edges(a, b) but those whose sketches rule a similarity of least out; prints has doc_id, n and sketch."""
+    of = lambda x: prints.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+
+    def run(batches):
+        for b in batches:
+            c = {k: b.column(k).to_pylist() for k in ("na", "nb", "sa", "sb")}
+            ok = [parities_differ(x, y) * (1 + least) <= (m + n) * (1 - least) * (1 + 1e-9) for m, n, x, y in zip(*c.values(), strict=True)]
+            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return edges.join(of("a"), "a").join(of("b"), "b").mapInArrow(run, "a long, b long").distinct()
+
+
+def similar(edges: DataFrame, prints: DataFrame, docs: DataFrame, size: int, least: float) -> DataFrame:
+    """The edges(a, b) whose texts' sets of shingles of size words have a Jaccard similarity of least or more.
 
     Every a goes to where its b is, so an edge moves one text; the texts of one b are shared out among tasks.
     """
     common.arrow(docs.sparkSession)
+    edges = common.written(allowed(edges, prints, least), "allowed")
     ids = common.written(edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     texts = common.written(texts_of(docs, ids), "texts")
     shares = common.written(edges.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PARTNERS_PER_TASK).cast("int").alias("shares")), "shares")
@@ -475,7 +502,7 @@ def set_links(nodes: DataFrame, prints: DataFrame, docs: DataFrame, size: int, l
     equal = nodes.join(by_print, "fp").select(F.col("node").alias("a"), "b").filter("a <> b")
     near = links(by_print.select(F.col("b").alias("node"), "fp"), NEAR_BITS).select(F.col("b").alias("a"), F.col("a").alias("b"))
     tried = common.written(equal.unionByName(near).unionByName(to_leaders(probes, nodes, least)).distinct(), "tried")
-    edges = common.written(similar(tried, docs, size, least), "links")
+    edges = common.written(similar(tried, prints, docs, size, least), "links")
     active = nodes.select("node", "digest", "n", *PARITY)
     for most in (*PARTNERS, 1 << 62):
         parts = components.components(edges)
@@ -484,7 +511,7 @@ def set_links(nodes: DataFrame, prints: DataFrame, docs: DataFrame, size: int, l
         ends = (F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a"))
         new = common.written(found.filter("a <> b").select(*ends).join(tried.select(*ends).distinct(), ["a", "b"], "left_anti"), "new")
         tried = tried.unionByName(new)
-        edges = edges.unionByName(common.written(similar(new, docs, size, least), "links"))
+        edges = edges.unionByName(common.written(similar(new, prints, docs, size, least), "links"))
         active = common.written(active.join(found.filter("a = b").select(F.col("a").alias("node")), "node", "left_semi"), "active")
         if active.isEmpty():
             break

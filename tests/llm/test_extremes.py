@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from bandloom.llm import exact_dedup, langid, licenses, secrets, simhash, substring_dedup, tokens, words
+from bandloom.llm import decontamination, exact_dedup, langid, licenses, secrets, simhash, substring_dedup, tokens, words
 
 
 # ---- language
@@ -250,7 +250,58 @@ def test_prefixes_of_similar_sets_meet():
             assert len(np.intersect1d(p[0], q[0])) and (p[1] == np.isin(p[0], known)).all()
 
 
+def test_parities_rule_no_similar_pair_out():
+    rng = np.random.default_rng(8)
+    out = 0
+    for n in (1, 30, 400, 3000):
+        for cut in (0, 0.05, 0.1, 0.11, 0.2, 0.4, 1):
+            a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[int(len(a) * cut) :], rng.integers(0, 2**63, int(n * cut * rng.random()), dtype=np.uint64)]))
+            size = lambda s: simhash.parities(s, 1 << max(9, (2 * len(s) - 1).bit_length())).tobytes()
+            differ, shared = simhash.parities_differ(size(a), size(b)), len(np.intersect1d(a, b))
+            assert differ <= len(a) + len(b) - 2 * shared
+            out += differ * 1.8 > (len(a) + len(b)) * 0.2
+    assert out > 8
+
+
 def test_shingle_sets_of_text_columns():
     col = pa.array(["A b c d e f", "", "one two", "a b c d e f g"])
     sizes = [len(s) for s in simhash.shingle_sets(col, 5)]
     assert sizes == [2, 0, 1, 3]
+
+
+# ---- decontamination
+
+
+def test_decontamination_finds_what_the_check_accepts_anywhere(spark):
+    """Against the final check on every pair of a whole text and an item, with no zones and no cosines."""
+    rng = np.random.default_rng(9)
+    vocab = [f"v{i}" for i in rng.zipf(1.4, 4000) % 1500]
+    items = [(i, " ".join(rng.choice(vocab, int(n)))) for i, n in enumerate(rng.integers(3, 90, 60))]
+    rows = []
+    for d in range(300):
+        w = rng.choice(vocab, int(rng.integers(0, 300))).tolist()
+        if d % 2:
+            item = items[int(rng.integers(60))][1].split()
+            share = (0.0, 0.1, 0.2, 0.3, 0.38, 0.5)[d // 2 % 6]  # of its words are other ones
+            w[len(w) // 2 : len(w) // 2] = [x if rng.random() >= share else f"z{k}" for k, x in enumerate(item)]
+        rows.append((d, " ".join(w)))
+    d, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ix = next(decontamination.searches(d, b)).__defaults__[0].value
+    want = {i for i, t in rows if any(decontamination.verdict(item, decontamination.text_hashes(t))[1] for item in ix.items)}
+    got = {r["doc_id"] for r in decontamination.decontaminate(d, b).collect() if r["contaminated"]}
+    # where a stretch begins, and the cosine, make a difference to texts on the edge
+    assert len(got & want) >= 0.94 * len(want) and len(got - want) <= 0.02 * len(want) and 100 < len(want) < 300
+    kept = sorted(r["doc_id"] for r in decontamination.keep_clean(d, b).collect())
+    assert kept == sorted({i for i, _ in rows} - got)
+
+
+def test_product_is_a_plain_matrix_product(spark):
+    rng = np.random.default_rng(1)
+    idf = rng.random(decontamination.FEATURES).astype(np.float32)
+    rows = [(rng.integers(0, decontamination.FEATURES, 30).tolist(), float(w)) for w in (1, 1, 2.5, 4, 0.5)]
+    a = np.stack([np.bincount(f, minlength=decontamination.FEATURES) * idf for f, _ in rows])
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    x = rng.normal(size=(decontamination.FEATURES, 3)).astype(np.float32)
+    got = decontamination.product(spark.createDataFrame(rows, "f array<int>, w double").repartition(3), idf, x)
+    assert got == pytest.approx(a.T @ (np.array([[w] for _, w in rows]) * (a @ x)), abs=1e-3)
