@@ -47,6 +47,15 @@ def targets(sources: DataFrame, share: float, max_repeats: float, weights: tuple
     return s.select("source", "source_size", "rows", F.coalesce(F.least(F.col("cap"), F.col("open.level") * F.col("w")), F.col("cap")).alias("target"))
 
 
+def drawn(docs: DataFrame, seed: int) -> DataFrame:
+    """doc_id, source, size, key of every row of docs(doc_id, text, source): key is an exponential draw by seed, doc_id
+    and size, divided by the document's quality."""
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), quality(F.col("text"), size).alias("q"))
+    u = (F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), "size", F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    return rows.withColumn("key", -F.log(u) / F.col("q")).drop("q")
+
+
 def mix(docs: DataFrame, share: float = 1.5, max_repeats: float = 2.0, weights: tuple[float, ...] = (3, 1, 2), seed: int = 17) -> DataFrame:
     """doc_id, size, source_size, target, taken of every row of docs(doc_id, text, source).
 
@@ -54,10 +63,7 @@ def mix(docs: DataFrame, share: float = 1.5, max_repeats: float = 2.0, weights:
     the document. Null source is a source of its own. Documents without words take nothing. Repeated rows draw equal
     keys and count one by one; null doc_id draws as 0. Empty tables give an empty result.
     """
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), quality(F.col("text"), size).alias("q"))
-    u = (F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), "size", F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
-    rows = common.written(rows.withColumn("key", -F.log(u) / F.col("q")), "mix")
+    rows = common.written(drawn(docs, seed), "mix")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     plan = targets(sources, share, max_repeats, weights)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)

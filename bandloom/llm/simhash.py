@@ -40,7 +40,7 @@ BLOCK, CHUNK = 1024, 100_000
 #: Parity bits of a shingle set, as long columns.
 PARITY = [f"p{i}" for i in range(8)]
 #: Pairs that one step of a comparison holds, and the candidates of a row that the rounds before the last check.
-PAIRS, PARTNERS = 4_000_000, (4, 32, 256)
+PAIRS, PARTNERS = 4_000_000, (4, 64)
 #: Fingerprints of shingle sets that differ in so many bits are candidates; others are the prefix filter's.
 NEAR_BITS = 3
 #: So many ids, 8 bytes each, may be sent to every task to leave out other texts before they are moved.
@@ -491,7 +491,8 @@ def candidates(probes: DataFrame, active: DataFrame, least: float, most: int) ->
 
 
 def set_links(nodes: DataFrame, prints: DataFrame, docs: DataFrame, size: int, least: float) -> DataFrame:
-    """Edges (a, b) that connect the nodes(node, digest, n, PARITY, fp) as all pairs of similarity least or more would."""
+    """Edges (a, b), stars, that connect the nodes(node, digest, n, PARITY, fp) as all pairs of similarity least or more
+    would."""
     mine = prints.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     mine = common.written(mine.select(F.col("doc_id").alias("node"), "plain", "frequent"), "prefixes")
     # hashes that are not frequent make no large window; those that a node is alone with, most of them, are not written
@@ -504,18 +505,23 @@ def set_links(nodes: DataFrame, prints: DataFrame, docs: DataFrame, size: int, l
     tried = common.written(equal.unionByName(near).unionByName(to_leaders(probes, nodes, least)).distinct(), "tried")
     edges = common.written(similar(tried, prints, docs, size, least), "links")
     active = nodes.select("node", "digest", "n", *PARITY)
+    parts = components.components(edges)
     for most in (*PARTNERS, 1 << 62):
-        parts = components.components(edges)
         parted = common.written(active.join(parts, "node", "left").select(*active.columns, F.coalesce("component", "node").alias("part")), "active")
         found = common.written(candidates(probes, parted, least, most), "candidates")
         ends = (F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a"))
         new = common.written(found.filter("a <> b").select(*ends).join(tried.select(*ends).distinct(), ["a", "b"], "left_anti"), "new")
-        tried = tried.unionByName(new)
-        edges = edges.unionByName(common.written(similar(new, prints, docs, size, least), "links"))
+        if not new.isEmpty():
+            tried = tried.unionByName(new)
+            more = common.written(similar(new, prints, docs, size, least), "links")
+            if not more.isEmpty():
+                # the components so far are stars, which the new links join
+                edges = common.written(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "edges")
+                parts = components.components(edges)
         active = common.written(active.join(found.filter("a = b").select(F.col("a").alias("node")), "node", "left_semi"), "active")
         if active.isEmpty():
             break
-    return edges
+    return parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
 def common_shingles(docs: DataFrame, size: int) -> np.ndarray:

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from bandloom.llm import decontamination, exact_dedup, langid, licenses, secrets, simhash, substring_dedup, tokens, words
+from bandloom.llm import decontamination, exact_dedup, langid, licenses, mixing, secrets, simhash, substring_dedup, tokens, url_filter, words
 
 
 # ---- language
@@ -305,3 +305,77 @@ def test_product_is_a_plain_matrix_product(spark):
     x = rng.normal(size=(decontamination.FEATURES, 3)).astype(np.float32)
     got = decontamination.product(spark.createDataFrame(rows, "f array<int>, w double").repartition(3), idf, x)
     assert got == pytest.approx(a.T @ (np.array([[w] for _, w in rows]) * (a @ x)), abs=1e-3)
+
+
+# ---- mixing
+
+
+def test_the_draw_is_a_sort_and_a_prefix_sum(spark, monkeypatch):
+    """By each source's keys in order: whole epochs, then documents as long as they fit, then the one nearest to the gap."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 7)
+    r = random.Random(5)
+    rows = [(i, "word " * r.randint(0, 40) + "1% " * r.randint(0, 20), r.choice("abbbbbc") if r.random() < 0.9 else None) for i in range(400)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    keys = {x["doc_id"]: (x["source"], x["size"], x["key"]) for x in mixing.drawn(d, 17).collect()}
+    got = {x["doc_id"]: (x["target"], x["taken"]) for x in mixing.mix(d, seed=17).collect()}
+    for source in {k[0] for k in keys.values()}:
+        ids = sorted((i for i in keys if keys[i][0] == source), key=lambda i: (keys[i][2], i))
+        total, target = sum(keys[i][1] for i in ids), got[ids[0]][0]
+        epochs = int(target // total)
+        rest, picked, last = target - epochs * total, set(), None
+        for i in ids:
+            size = keys[i][1]
+            if sum(keys[j][1] for j in picked) + size <= rest and last is None:
+                picked.add(i)
+            else:
+                last = last or i
+        gap = rest - sum(keys[i][1] for i in picked)
+        taken = sum(got[i][1] for i in ids)
+        assert {i for i in picked if keys[i][1]} <= {i for i in ids if got[i][1] == (epochs + 1) * keys[i][1]}
+        extra = [i for i in ids if got[i][1] == (epochs + 1) * keys[i][1] and keys[i][1] and i not in picked]
+        assert len(extra) <= 1 and abs(taken - target) <= gap + 1e-6
+        assert all(got[i][1] in (epochs * keys[i][1], (epochs + 1) * keys[i][1]) for i in ids)
+
+
+def test_quality_weighs_the_draw(spark):
+    rows = [(i, "plain words here" if i % 2 else "1% 2% 3%", "a") for i in range(4000)] + [(9000 + i, "x " * 3, "b") for i in range(4000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), share=0.5).filter("doc_id < 9000 and taken > 0").collect()
+    plain = sum(x["doc_id"] % 2 for x in got)
+    assert plain > 1.5 * (len(got) - plain)
+
+
+# ---- lists
+
+
+def test_url_filter_repeats(spark):
+    e = spark.createDataFrame([("bad.com", "x", "2024-01-10", True)], "list_key string, category string, day string, listed boolean")
+    c = spark.createDataFrame([(1, "http://bad.com/", "2024-02-01")] * 3 + [(None, "http://bad.com/", "2024-02-01"), (2, "", None)], "page_id long, url string, fetched_on string")
+    got = url_filter.url_filter(c, e).collect()
+    assert len(got) == 5 and sum(x["blocked"] for x in got) == 4
+
+
+# ---- the pipeline
+
+
+def test_stages_bear_any_table(spark, tmp_path):
+    """Nulls in every column, clashing names, repeats and empty tables."""
+    import corpus_pipeline
+
+    sf = str(tmp_path)
+    spark.createDataFrame([(1, "some benchmark item of ten words that is quite long")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    text = "the house and the garden are in the town with the river and all the people there"
+    rows = [(None,) * 9, (1, text, "en", "a", 5, 1, 1, "x", 0.5), (1, text, "en", "a", 5, 1, 1, "x", 0.5), (2, None, None, None, None, None, None, None, None), (3, "", "en", "", 0, 2, 2, "", 1.0), (None, text + " more", "en", "a", 5, 1, 1, "x", 0.5)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, a long, b long, digest string, score double"
+    for i, d in enumerate((spark.createDataFrame(rows, schema), spark.createDataFrame([], schema))):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, d, sf)
+            kept = out.collect()
+            assert name == "mixing" or out.columns == d.columns
+            if i:
+                assert not kept
+            elif name == "language":
+                assert [x["text"] for x in kept].count(text) == 2 and len(kept) == 3
+            elif name == "exact_dedup":
+                assert sorted(x["text"] or "" for x in kept) == ["", text, text + " more"]
+            elif name in ("decontamination", "mixing"):
+                assert len(kept) == len(rows)
