@@ -324,16 +324,23 @@ def simplify(points: Sequence[tuple[float, float]], tolerance: float) -> list[tu
 
 def cluster_features(rows: DataFrame, distance: float, threshold: int = 1) -> DataFrame:
     """layer, id, cluster of rows(layer, id, x, y): in id order a feature joins the first cluster whose centre (the first
-    feature's place) is within distance; clusters of under threshold features fall apart (cluster null)."""
+    feature's place) is within distance; clusters of under threshold features fall apart (cluster null). The order
+    decides, so a task holds one layer; features without a place are in no cluster."""
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
-        p, centers, got = p.sort_values("id"), [], []
+        p, cells, got, n = p.sort_values("id"), {}, [], 0
+        side = distance or 1.0
         for x, y in zip(p["x"], p["y"], strict=True):
-            k = next((i for i, c in enumerate(centers) if np.hypot(c[0] - x, c[1] - y) <= distance), len(centers))
-            if k == len(centers):
-                centers.append((x, y))
+            a, b = int(np.floor(x / side)), int(np.floor(y / side))
+            near = (c for i in (a - 1, a, a + 1) for j in (b - 1, b, b + 1) for c in cells.get((i, j), ()))  # centres by cell
+            k = min((k for k, cx, cy in near if np.hypot(cx - x, cy - y) <= distance), default=n)
+            if k == n:
+                cells.setdefault((a, b), []).append((n, x, y))
+                n += 1
             got.append(k)
         size = pd.Series(got).map(pd.Series(got).value_counts()).to_numpy()
         return pd.DataFrame({"layer": p["layer"], "id": p["id"], "cluster": pd.array([k if n >= threshold else None for k, n in zip(got, size, strict=True)], "Int32")})
 
-    return rows.groupBy("layer").applyInPandas(run, "layer long, id long, cluster int")
+    placed = rows.filter("x is not null and y is not null").groupBy("layer").applyInPandas(run, "layer long, id long, cluster int")
+    lost = rows.filter("x is null or y is null").select(F.col("layer").cast("long").alias("layer"), F.col("id").cast("long").alias("id"), F.lit(None).cast("int").alias("cluster"))
+    return placed.unionByName(lost)

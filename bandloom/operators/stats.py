@@ -90,12 +90,39 @@ def cut_levels(hist: DataFrame, key: str) -> DataFrame:
     return p.agg(F.percentile("n", F.lit(0.5)).alias("cut50"), F.percentile("n", F.lit(0.95)).alias("cut95"))
 
 
+def quantiles(values: DataFrame, column: str, at: Sequence[float], clamp: float = 1.0, parts: int = 128) -> DataFrame:
+    """One row, q: the exact percentiles (linear between neighbours) of the column, null without values; of values
+    clamped at a percentile of theirs, if clamp is given.
+
+    Approximate quantiles cut the values into bins of about equal size; the exact counts of the bins tell which of them
+    hold the few ranks that are needed, and only these are sorted, each by itself. Equal values are one row throughout.
+    """
+    v = values.select(F.col(column).cast("double").alias("v")).filter("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    edges = v.agg(F.percentile_approx("v", F.array(*[F.lit(i / parts) for i in range(1, parts)]), F.lit(10_000)).alias("edges"))
+    binned = v.join(F.broadcast(edges)).select("v", "c", F.size(F.filter("edges", lambda e: e < F.col("v"))).alias("bin"))  # one row
+    order = Window.orderBy("bin")  # of the bins
+    sizes = binned.groupBy("bin").agg(F.sum("c").alias("n"))
+    sizes = sizes.withColumns({"before": F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "total": F.sum("n").over(Window.partitionBy())})
+    place = [F.lit(float(p)) * (F.col("total") - 1) for p in (*at, clamp)]
+    ranks = F.array(*[F.struct(F.lit(i).alias("i"), p.alias("place"), r.cast("long").alias("rank")) for i, p in enumerate(place) for r in (F.floor(p), F.ceil(p))])
+    wanted = sizes.withColumn("w", F.explode(ranks)).filter("w.rank >= before and w.rank < before + n").select("bin", "before", "w.*").distinct()
+    upto = F.sum("c").over(Window.partitionBy("bin").orderBy("v"))
+    own = binned.join(F.broadcast(wanted.select("bin").distinct()), "bin", "left_semi").withColumn("upto", upto)
+    found = own.withColumnRenamed("bin", "b").join(F.broadcast(wanted), F.expr("b = bin and rank < before + upto and rank >= before + upto - c"))  # two ranks a percentile
+    each = found.groupBy("i").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), (F.first("place") - F.floor(F.first("place"))).alias("share"))
+    all_ = each.agg(F.array_sort(F.collect_list(F.struct("i", "lo", "hi", "share"))).alias("e"))
+    between = lambda lo, hi, share: lo + (hi - lo) * share
+    top = F.get("e", F.lit(len(at)))
+    cut = between(top["lo"], top["hi"], top["share"])  # clamping keeps the order, so it can follow the choice of ranks
+    q = F.transform(F.slice("e", 1, len(at)), lambda e: between(F.least(e["lo"], cut), F.least(e["hi"], cut), e["share"]))
+    return all_.select(F.when(F.size("e") > 0, q).alias("q"))
+
+
 def score_quantiles(scores: DataFrame, column: str, clamp: float = 0.99, steps: int = 11) -> DataFrame:
     """quantile (500 to 1000 by 50) and score: percentiles of the different scores, clamped at a percentile."""
     d = scores.select(F.col(column).alias("s")).filter("s is not null").distinct()
     at = [0.5 + 0.5 * i / (steps - 1) for i in range(steps)]
-    cut = d.agg(F.percentile("s", F.lit(clamp)).alias("cut"))
-    q = d.join(F.broadcast(cut)).agg(F.percentile(F.least("s", "cut"), F.array(*map(F.lit, at))).alias("q"))  # one row
+    q = quantiles(d, "s", at, clamp)
     return q.select(F.posexplode("q").alias("i", "score")).select((F.lit(500) + F.col("i") * (500 // (steps - 1))).cast("int").alias("quantile"), "score")
 
 

@@ -212,3 +212,30 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
         ck.rename(tmp_path / f"lost{i}")  # as if the batch's commit had been lost
         assert {r["key"]: (r["attempts"], r["ok"]) for r in ingest.latest(spark, str(tmp_path / "status")).collect()} == {"a": (1, True), "bad": (1, False)}
         assert [r["key"] for r in spark.read.parquet(str(tmp_path / "names")).collect()] == ["a"]
+
+
+def test_quantiles_are_exact(spark):
+    rng = np.random.default_rng(4)
+    at = [0.0, 0.013, 0.25, 0.5, 0.77, 0.99, 1.0]
+    for v in (rng.normal(size=5000), np.repeat([3.0, 1.0, 2.0], [500, 3, 800]), np.exp(rng.normal(size=999) * 9), np.array([4.0]), np.array([2.0, 1.0])):
+        got = stats.quantiles(spark.createDataFrame([(float(x),) for x in v] + [(None,)], "v double"), "v", at).first()["q"]
+        assert np.allclose(got, np.percentile(v, [100 * p for p in at]))
+    got = stats.quantiles(spark.createDataFrame([(float(x),) for x in v], "v double"), "v", [0.5, 1.0], 0.9).first()["q"]
+    assert np.allclose(got, np.percentile(np.minimum(v, np.percentile(v, 90)), [50, 100]))
+    assert stats.quantiles(spark.createDataFrame([], "v double"), "v", at).first()["q"] is None
+
+
+def test_feature_clusters_by_cells_equal_a_search_of_all(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(i % 2), i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-20, 20, (300, 2)))] + [(0, 900, None, 1.0)]
+    got = {r["id"]: r["cluster"] for r in geo.cluster_features(spark.createDataFrame(rows, "layer long, id long, x double, y double"), 4.0, 2).collect()}
+    want = {900: None}
+    for layer in (0, 1):
+        centers, of_ = [], {}
+        for _, i, x, y in (r for r in rows if r[0] == layer and r[2] is not None):
+            k = next((k for k, c in enumerate(centers) if math.hypot(c[0] - x, c[1] - y) <= 4.0), len(centers))
+            if k == len(centers):
+                centers.append((x, y))
+            of_[i] = k
+        want |= {i: k if list(of_.values()).count(k) >= 2 else None for i, k in of_.items()}
+    assert got == want
