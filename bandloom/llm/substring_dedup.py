@@ -10,9 +10,8 @@ windows, and runs of neighbouring windows share one anchor.
    counted once are dropped. The sketch is a table, wide in proportion to the anchors, so no task holds it and no size
    is ever too large to broadcast. Documents keep the anchors whose cells all remain; counts only overestimate, so no
    repeated window is lost.
-3. The windows of those anchors alone, in those documents alone, are grouped by anchor and a 64-bit hash of their words,
-   which only drops windows that no other document can have. The rest are grouped exactly, by the SHA-256 of their
-   words, to find the smallest document that has each; windows that start in a smaller one mark their words.
+3. The windows of those anchors alone, in those documents alone, are grouped by their words, for which 128 bits of their
+   SHA-256 stand, to find the smallest document that has each; windows that start in a smaller one mark their words.
 """
 
 from __future__ import annotations
@@ -56,11 +55,13 @@ def sha(kept: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(kept)).hexdigest()
 
 
-def window_digests(w: list[bytes], starts: np.ndarray, window: int) -> list[bytes]:
-    """SHA-256 of the words, joined by one space, of each window of w that starts at one of starts."""
-    joined, ends = b" ".join(w), np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
-    first, last = ends[starts] - np.fromiter(map(len, w), np.int64, len(w))[starts], ends[starts + window - 1]
-    return [hashlib.sha256(joined[a:b]).digest() for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+def window_keys(w: list[bytes], starts: np.ndarray, window: int) -> np.ndarray:
+    """Two numbers for each window of w that starts at one of starts: 128 bits of the SHA-256 of its words, joined by one
+    space."""
+    lengths = np.fromiter(map(len, w), np.int64, len(w))
+    joined, ends = b" ".join(w), np.cumsum(lengths + 1) - 1
+    spans = zip((ends[starts] - lengths[starts]).tolist(), ends[starts + window - 1].tolist(), strict=True)
+    return np.frombuffer(b"".join(hashlib.sha256(joined[a:b]).digest()[:16] for a, b in spans), "<i8").reshape(-1, 2)
 
 
 def surveyed(docs: DataFrame, window: int, gram: int) -> DataFrame:
@@ -120,37 +121,24 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     def windows(batches):
         for b in batches:
             data, offs = words.column(b.column("text"))
-            ids, want = b.column("doc_id").to_numpy(), b.column("wanted")
+            ids, want, whole = b.column("doc_id").to_numpy(), b.column("wanted"), b.column("text").to_pylist()
             out = []
             for i, j in words.slices(offs):
                 part = data[offs[i] : offs[j]]
                 starts, ends, first = words.words(part, offs[i : j + 1] - offs[i])
-                h = words.word_hashes(part, starts, ends)
-                a, at = anchors(h, first, window, gram)
-                w, _ = words.gram_hashes(h, first, window, words.WINDOW_BASE)
+                a, at = anchors(words.word_hashes(part, starts, ends), first, window, gram)
                 for k in range(j - i):
-                    own = a[at[k] : at[k + 1]].view(np.int64)
-                    hit = np.flatnonzero(np.isin(own, want[i + k].values.to_numpy()))
-                    out.append((own[hit], w[at[k] : at[k + 1]][hit].view(np.int64), np.full(len(hit), ids[i + k]), hit.astype(np.int32)))
+                    hit = np.flatnonzero(np.isin(a[at[k] : at[k + 1]].view(np.int64), want[i + k].values.to_numpy()))
+                    if len(hit):
+                        out.append((window_keys(word_list(whole[i + k]), hit, window), np.full(len(hit), ids[i + k]), hit.astype(np.int32)))
             for k in range(0, len(out), 50):
-                a, w, d, s = (np.concatenate(x) for x in zip(*out[k : k + 50], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a, w, d, s)], ["a", "w", "doc_id", "start"])
+                key, d, s = (np.concatenate(x) for x in zip(*out[k : k + 50], strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in (key[:, 0], key[:, 1], d, s)], ["k1", "k2", "doc_id", "start"])
 
-    found = texts.mapInArrow(windows, "a long, w long, doc_id long, start int")
-    groups = found.groupBy("a", "w").agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest")).filter("smallest < largest").select("a", "w")
+    found = texts.mapInArrow(windows, "k1 long, k2 long, doc_id long, start int")
+    groups = found.groupBy("k1", "k2").agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest")).filter("smallest < largest").select("k1", "k2", "smallest")
     groups = common.written(groups, "groups")
-    alike = common.written(found.join(groups, ["a", "w"]).groupBy("doc_id").agg(F.collect_set("start").alias("starts")), "alike")
-
-    def digests(batches):
-        for b in batches:
-            for text, i, begun in zip(b.column("text").to_pylist(), b.column("doc_id").to_pylist(), b.column("starts"), strict=True):
-                w, at = word_list(text), begun.values.to_numpy()
-                at = at[at <= len(w) - window]  # another text under the same doc_id may be longer
-                yield pa.RecordBatch.from_arrays([pa.array(window_digests(w, at, window), pa.binary()), pa.array(np.full(len(at), i)), pa.array(at)], ["digest", "doc_id", "start"])
-
-    rows = common.written(texts.select("doc_id", "text").join(alike, "doc_id").mapInArrow(digests, "digest binary, doc_id long, start int"), "digests")
-    same = rows.groupBy("digest").agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest")).filter("smallest < largest").select("digest", "smallest")
-    starts = rows.join(common.written(same, "same"), "digest").filter("doc_id > smallest").groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
+    starts = found.join(groups, ["k1", "k2"]).filter("doc_id > smallest").groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
     cut = texts.select("doc_id", "text").join(starts, "doc_id")
 
     def keep(batches):
