@@ -463,12 +463,9 @@ def function_filter(spark, d):
     return read(spark, d, "events").filter(cql.function("startswith", F.col("event_type"), F.lit("c"))).select("event_id")
 
 
-@query(f"""WITH RECURSIVE {PX}, c AS (SELECT y, x, y * 25 + x AS id FROM px WHERE s[1] > 0), r(y, x, id) AS (SELECT y, x, id FROM c UNION SELECT c.y, c.x, r.id FROM r JOIN c ON abs(c.y - r.y) <= 1 AND abs(c.x - r.x) <= 1 WHERE r.id <= c.id OR true),
+SQL["connected_components"] = f"""WITH RECURSIVE {PX}, c AS (SELECT y, x, y * 25 + x AS id FROM px WHERE s[1] > 0), r(y, x, id) AS (SELECT y, x, id FROM c UNION SELECT c.y, c.x, r.id FROM r JOIN c ON abs(c.y - r.y) <= 1 AND abs(c.x - r.x) <= 1),
     l AS (SELECT y, x, min(id) AS low FROM r GROUP BY 1, 2), n AS (SELECT *, dense_rank() OVER (ORDER BY low) AS region, count(*) OVER (PARTITION BY low) AS size FROM l)
-    SELECT 0 AS image_key, 0 AS cluster, y, x, CAST(region AS INTEGER) AS region, CAST(size AS INTEGER) AS size FROM n WHERE size >= 2""".replace(" WHERE r.id <= c.id OR true", ""))
-def connected_components_of_band(spark, d):
-    p = pixels(spark, d).filter(F.element_at("spectrum", 1) > 0).select(F.lit(0).alias("image_key"), F.lit(0).alias("cluster"), "y", "x")
-    return cluster.regions(p, lower=2)
+    SELECT 0 AS image_key, 0 AS cluster, y, x, CAST(region AS INTEGER) AS region, CAST(size AS INTEGER) AS size FROM n WHERE size >= 2"""
 
 
 # ---- streams
