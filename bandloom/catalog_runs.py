@@ -10,7 +10,7 @@ from .functions import scalar
 from .operators import cluster, contour, geo, linalg, raster, stats
 from .plans import cql, reports
 from .sources import codecs, features, kv, markup, sequence
-from .sources.tables import pixels, read, tall
+from .sources.tables import pixels, read, stream, tall
 from .streaming import ingest
 
 # ---- runs
@@ -496,7 +496,7 @@ def stream_status(spark, d):
 def stream_statistics(spark, d):
     """Images that arrive as a stream, with three named outputs; the statistics are returned."""
     base, px = shared_folder(spark, "statistics"), pixels(spark, d)
-    s = spark.readStream.schema(read(spark, d, "embeddings").schema).option("pathGlobFilter", "embeddings*.parquet").parquet(d)
+    s = stream(spark, d, "embeddings")
     outputs = {
         "catalog": (f"{base}/catalog", lambda done: done.select("key", "file")),
         "fileNames": (f"{base}/names", lambda done: done.select("file")),

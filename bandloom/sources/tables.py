@@ -13,6 +13,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The rows of a table as a stream, whether it is one file or a folder of parts.
+
+    The name stands as a pattern, since a stream takes a plain path for a folder only.
+    """
+    return spark.readStream.schema(read(spark, sf_dir, table).schema).parquet(f"{sf_dir}/[{table[0]}]{table[1:]}.parquet")
+
+
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """image_key, vec_id, y, x, spectrum of the embeddings table."""
     e = read(spark, sf_dir, "embeddings")

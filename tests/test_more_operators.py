@@ -239,3 +239,11 @@ def test_feature_clusters_by_cells_equal_a_search_of_all(spark):
             of_[i] = k
         want |= {i: k if list(of_.values()).count(k) >= 2 else None for i, k in of_.items()}
     assert got == want
+
+
+@pytest.mark.parametrize("name", ["stream_statistics"])
+def test_streams_read_tables_of_several_files(spark, tmp_path, name):
+    for t in ("embeddings", "pages"):
+        spark.read.parquet(f"{SF}/{t}.parquet").repartition(3).write.parquet(str(tmp_path / f"{t}.parquet"))
+    folder, file = (sorted(map(str, catalog.QUERIES[name](spark, d).collect())) for d in (str(tmp_path), SF))
+    assert folder == file and folder
