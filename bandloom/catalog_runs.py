@@ -472,8 +472,7 @@ SQL["connected_components"] = f"""WITH RECURSIVE {PX}, c AS (SELECT y, x, y * 25
 
 
 def page_stream(spark, d):
-    s = spark.readStream.schema(read(spark, d, "pages").schema).option("pathGlobFilter", "pages*.parquet").parquet(d)
-    return s.select(F.col("page_id").cast("string").alias("key"))
+    return stream(spark, d, "pages").select(F.col("page_id").cast("string").alias("key"))
 
 
 @query("SELECT CAST(page_id AS VARCHAR) AS key, CAST(1 AS INTEGER) AS attempts, page_id % 5 <> 0 AS ok, CASE WHEN page_id % 5 <> 0 THEN 'f' || page_id ELSE '' END AS file FROM pages")

@@ -241,7 +241,7 @@ def test_feature_clusters_by_cells_equal_a_search_of_all(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("name", ["stream_statistics"])
+@pytest.mark.parametrize("name", ["stream_statistics", "stream_status"])
 def test_streams_read_tables_of_several_files(spark, tmp_path, name):
     for t in ("embeddings", "pages"):
         spark.read.parquet(f"{SF}/{t}.parquet").repartition(3).write.parquet(str(tmp_path / f"{t}.parquet"))
