@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -90,3 +92,19 @@ def radiance_scaling(json: Column) -> Column:
     """Map from name to factor; empty if there is none."""
     found = F.from_json(F.get_json_object(json, "$.L1T.L1_METADATA_FILE.RADIANCE_SCALING"), "map<string,double>")
     return F.coalesce(found, F.create_map().cast("map<string,double>"))
+
+
+def libm_exp(value: Column) -> Column:
+    """exp as the C library rounds it. Java's differs in the last bit of one value in 18, which a floor can turn into 1."""
+
+    def exp(v: float) -> float:
+        try:
+            return math.exp(v)
+        except OverflowError:
+            return math.inf
+
+    @F.arrow_udf("double")
+    def run(values: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else exp(v) for v in values.to_pylist()], pa.float64())
+
+    return run(value)

@@ -58,6 +58,20 @@ def test_rgb_bands():
     assert raster.rgb_bands([10, 20, 30], [15, 15, 15]) == [10, 20, 30] and raster.rgb_bands([1, 2], [5, 5, 5]) == [2, 1, 2]
 
 
+def test_stretch_rounds_as_the_c_library(spark):
+    """Over 2,000 images of two pixels: the greatest value is 255 or 254 by the last bit of its exp."""
+    v = [[math.sin(i * 7 + j) for j in range(6)] for i in range(2000)]
+    p = spark.createDataFrame([(i, 2 * i + k, x[3 * k : 3 * k + 3]) for i, x in enumerate(v) for k in (0, 1)], "image_key int, vec_id long, spectrum array<double>")
+    want = {}
+    for i, x in enumerate(v):
+        e = [math.exp(u) for u in x]
+        lo, hi = min(e), max(e)
+        want |= {2 * i + k: [math.floor(255 * (u - lo) / (hi - lo)) for u in e[3 * k : 3 * k + 3]] for k in (0, 1)}
+    assert {r["vec_id"]: [r["r"], r["g"], r["b"]] for r in raster.rgb_stretch(p, (1, 2, 3)).collect()} == want
+    odd = spark.createDataFrame([(None,), (float("nan"),), (800.0,), (-800.0,)], "v double").select(scalar.libm_exp(F.col("v")).alias("e")).collect()
+    assert odd[0]["e"] is None and math.isnan(odd[1]["e"]) and odd[2]["e"] == math.inf and odd[3]["e"] == 0
+
+
 def test_normalize(spark):
     m = 500e-9
     solar = 2.5e-28 / (math.exp(0.0143878 / m / 5778) - 1) / m**5
