@@ -247,3 +247,15 @@ def test_streams_read_tables_of_several_files(spark, tmp_path, name):
         spark.read.parquet(f"{SF}/{t}.parquet").repartition(3).write.parquet(str(tmp_path / f"{t}.parquet"))
     folder, file = (sorted(map(str, catalog.QUERIES[name](spark, d).collect())) for d in (str(tmp_path), SF))
     assert folder == file and folder
+
+
+def test_overlay_rounds_as_its_sql(spark, tmp_path):
+    """Two pixels an image, dark and bright; the last bit of exp decides whether the bright one is 254 or 255."""
+    duckdb = pytest.importorskip("duckdb")
+    ends = [(-0.18672092258930206, 0.3358409106731415), (-0.23972009122371674, 0.23767609894275665), (-0.28709545731544495, 0.24360030889511108), (-0.19667501747608185, 0.22411595284938812), (-0.2665800452232361, 0.21508647501468658), (-0.26225486397743225, 0.16903214156627655)]
+    rows = [(2 * i + k, [0.5] * 9 + [v] * 21, i) for i, pair in enumerate(ends) for k, v in enumerate(pair)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    c = duckdb.connect()
+    c.sql(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = c.sql(f"select image_key, pixels, first, third, alpha from ({catalog.SQL['rgba_png']})").fetchall()
+    assert sorted(map(tuple, catalog.QUERIES["rgba_png"](spark, str(tmp_path)).collect())) == sorted(want) and len(want) == len(ends)
