@@ -1,9 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Passages are windows of words as TF-IDF vectors over FEATURES hashed words; document frequencies count every passage of
-the corpus. A randomised SVD of a matrix of passages (all of the benchmark, half of the weight, and a bounded sample of
-the documents', the other half) gives one latent space for all items. Its two passes are distributed: each task sums its
-part of A'WA X, blocks of features are added up, and only a FEATURES x rank matrix comes to the driver.
+Texts are TF-IDF vectors over FEATURES hashed words; document frequencies count every passage of PASSAGE words of the
+corpus. A randomised SVD of a matrix with a row for each document of the corpus, all of its words, and for each passage
+of the benchmark (half of the weight each) gives one latent space for all items. Its two passes are distributed: each
+task sums its part of A'WA X, blocks of features are added up, and only a FEATURES x rank matrix comes to the driver.
 
 Every document is searched for zones that may hold an item, then windows of the item's length in them are projected and
 compared with the item by cosine. Candidate places are decided by the longest common subsequence with the item's words,
@@ -25,18 +25,19 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common, words
 
 FEATURES, RANK, EXTRA, PASSAGE = 1 << 13, 96, 8, 64
-SAMPLE_PASSAGES, ITEMS_BLOCK = 20_000, 5_000
+ITEMS_BLOCK = 5_000
 MIN_COSINE = 0.4
 #: The rarest words of an item that a zone has to hold.
 GATE_WORDS = 6
-#: Tasks that hold the passages; each sends one part of a product.
-PARTS = 64
+#: Tasks that share a product, each of which sends one part of it, and rows that one holds at once.
+PARTS, ROWS_AT_ONCE = 64, 256
 #: Common subsequence over item words: enough alone, and enough with the answer.
 CERTAIN, WITH_ANSWER = 0.8, 0.6
 ANSWER_WORDS = 3
@@ -76,68 +77,73 @@ def each_slice(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np
         yield i, j, *hashed(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
 
 
-def frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
-    """Number of passages of all docs, and in how many each feature occurs; FEATURES rows come to the driver."""
+def text_features(docs: DataFrame, cut: bool = False) -> DataFrame:
+    """f: the features of the words of each text of docs that has any, in order; cut: of each of its passages."""
 
     def run(batches):
-        n, df = 0, np.zeros(FEATURES, np.int64)
         for b in batches:
             for _, _, h, first in each_slice(b):
-                starts, ends = passages(h, first)
-                n += len(starts)
-                row = np.repeat(np.arange(len(starts)), ends - starts)
-                both = np.sort(row * FEATURES + feature(h))
-                if len(both):
-                    df += np.bincount(both[np.r_[True, both[1:] != both[:-1]]] % FEATURES, minlength=FEATURES)
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, FEATURES)), pa.array(np.concatenate([[n], df]))], ["f", "n"])
+                at = np.append(passages(h, first)[0], len(h)) if cut else first
+                f = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(feature(h), pa.int32()))
+                yield pa.RecordBatch.from_arrays([f.filter(pc.greater(pc.list_value_length(f), 0))], ["f"])
 
-    rows = docs.select("text").mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(FEATURES + 1, np.int64)
-    for r in rows:
-        out[r["f"] + 1] = r["n"]
-    return int(out[0]), out[1:]
+    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "f array<int>")
 
 
-def sample(docs: DataFrame, total: int) -> DataFrame:
-    """About SAMPLE_PASSAGES passages, drawn by a hash of the passage, as arrays of features."""
-    limit = np.uint64(min(1.0, SAMPLE_PASSAGES / max(total, 1)) * (2**64 - 2**12))
-    return passage_features(docs, lambda h, starts, ends: np.flatnonzero(words.spans_hash(h, starts, ends, words.WINDOW_BASE) <= limit))
+def each_part(f: pa.ListArray, size: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Ranges of the rows of f of about size features, these features, and where each row begins among them."""
+    values, first = f.flatten().to_numpy().astype(np.int64), np.concatenate([[0], np.cumsum(f.value_lengths().to_numpy())])
+    for i, j in words.slices(first, size):
+        yield i, j, values[first[i] : first[j]], first[i : j + 1] - first[i]
 
 
-def passage_features(docs: DataFrame, pick=lambda h, starts, ends: range(len(starts))) -> DataFrame:
-    """f: the features of each passage of docs(text) that pick gives the number of."""
+def frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
+    """Number of passages of all rows(f), and in how many each feature occurs; FEATURES rows come to the driver."""
 
     def run(batches):
+        n, df = 0, np.zeros(FEATURES, np.int64)
         for b in batches:
-            out = []
-            for _, _, h, first in each_slice(b):
-                starts, ends = passages(h, first)
-                out += [feature(h[starts[i] : ends[i]]).astype(np.int32) for i in pick(h, starts, ends)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32()))], ["f"])
+            for _, _, f, first in each_part(b.column("f")):
+                starts, ends = passages(f, first)
+                n += len(starts)
+                both = np.sort(np.repeat(np.arange(len(starts)), ends - starts) * FEATURES + f)
+                if len(both):
+                    df += np.bincount(both[np.r_[True, both[1:] != both[:-1]]] % FEATURES, minlength=FEATURES)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, FEATURES)), pa.array(np.concatenate([[n], df]))], ["f", "n"])
 
-    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "f array<int>")
+    found = rows.select("f").mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect()
+    out = np.zeros(FEATURES + 1, np.int64)
+    for r in found:
+        out[r["f"] + 1] = r["n"]
+    return int(out[0]), out[1:]
 
 
 def product(rows: DataFrame, idf: np.ndarray, x: np.ndarray, block: int = 256) -> np.ndarray:
     """A'W(A x) over the unit TF-IDF vectors of rows(f, w); block rows of features are added up at a time."""
     sent = rows.sparkSession.sparkContext.broadcast((idf, x))
 
-    def part(batches: Iterator[pd.DataFrame]):
+    def part(batches: Iterator[pa.RecordBatch]):
         idf, x = sent.value
         out = np.zeros(x.shape, np.float64)
+        a = np.zeros((ROWS_AT_ONCE, FEATURES), np.float32)
         for b in batches:
-            a = np.zeros((len(b), FEATURES), np.float32)
-            for i, f in enumerate(b["f"]):
-                np.add.at(a[i], f, idf[f])
-            a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
-            out += a.T @ (b["w"].to_numpy(np.float32)[:, None] * (a @ x))
-        yield pd.DataFrame({"k": range(0, FEATURES, block), "m": [out[k : k + block].ravel() for k in range(0, FEATURES, block)]})
+            for at in range(0, b.num_rows, ROWS_AT_ONCE):
+                rows = b.slice(at, ROWS_AT_ONCE)
+                n, w = rows.num_rows, rows.column("w").to_numpy().astype(np.float32)
+                for i, j, f, first in each_part(rows.column("f")):
+                    place = np.repeat(np.arange(i, j), np.diff(first)) * FEATURES + f
+                    np.add.at(a.reshape(-1), place, idf[f])
+                a[:n] /= np.maximum(np.linalg.norm(a[:n], axis=1, keepdims=True), 1e-12)
+                out += a[:n].T @ (w[:, None] * (a[:n] @ x))
+                a[:n] = 0
+        starts = range(0, FEATURES, block)
+        yield pa.RecordBatch.from_arrays([pa.array(starts, pa.int64()), pa.array([out[k : k + block].ravel() for k in starts], pa.list_(pa.float64()))], ["k", "m"])
 
     def add(p: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"k": p["k"].iloc[:1], "m": [np.sum(np.stack(p["m"].to_list()), 0)]})
 
-    found = rows.mapInPandas(part, "k long, m array<double>").groupBy("k").applyInPandas(add, "k long, m array<double>").collect()
+    found = rows.select("f", "w").mapInArrow(part, "k long, m array<double>").groupBy("k").applyInPandas(add, "k long, m array<double>").collect()
     sent.unpersist()
     out = np.zeros(x.shape)
     for r in found:
@@ -145,13 +151,10 @@ def product(rows: DataFrame, idf: np.ndarray, x: np.ndarray, block: int = 256) -
     return out
 
 
-def latent(docs: DataFrame, items: DataFrame, total: int, idf: np.ndarray, seed: int = 3) -> np.ndarray:
-    """FEATURES x RANK right singular vectors of the passages by a randomised SVD with one power step."""
-    own = passage_features(items).withColumn("item", F.lit(True))
-    rows = common.written(sample(docs, total).withColumn("item", F.lit(False)).unionByName(own).filter(F.size("f") > 0), "passages")
-    n = {r["item"]: r["n"] for r in rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")).collect()}
-    weight = max(n.get(False, 0), 1) / max(n.get(True, 0), 1)
-    rows = common.written(rows.select("f", F.when(F.col("item"), weight).otherwise(1.0).alias("w")).coalesce(PARTS), "weighted")
+def latent(docs: DataFrame, items: DataFrame, idf: np.ndarray, seed: int = 3) -> np.ndarray:
+    """FEATURES x RANK right singular vectors of all docs(f) and items(f) by a randomised SVD with one power step."""
+    weight = max(docs.count(), 1) / max(items.count(), 1)
+    rows = docs.select("f", F.lit(1.0).alias("w")).unionByName(items.select("f", F.lit(weight).alias("w"))).coalesce(PARTS)
     x = np.random.default_rng(seed).normal(size=(FEATURES, min(RANK + EXTRA, FEATURES)))
     q = np.linalg.qr(product(rows, idf, x.astype(np.float32)))[0]
     q, r = np.linalg.qr(product(rows, idf, q.astype(np.float32)))
@@ -302,14 +305,17 @@ def searches(docs: DataFrame, benchmark: DataFrame) -> Iterator:
     """For each block of benchmark(item_id, text and, if there, answer) a function that tasks call to get a function of
     a batch with a text column without nulls: the results of search for its rows. docs(text): the whole corpus."""
     spark = docs.sparkSession
+    common.arrow(spark)
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"), answer.alias("answer"))
     blocks = -(-items.count() // ITEMS_BLOCK)
     if not blocks:
         return
-    total, df = frequencies(docs)
+    rows = common.written(text_features(docs), "features")
+    total, df = frequencies(rows)
     idf = np.log((1 + total) / (1 + df)).astype(np.float32) + np.float32(0.1)
-    space = latent(docs, items, total, idf)
+    space = latent(rows, text_features(items, cut=True), idf)
+    common.remove(rows)
     for k in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         ix = index(sorted((r["item_id"] if r["item_id"] is not None else -1, r["text"] or "", r["answer"]) for r in block), idf, space)
@@ -325,7 +331,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found. Null and empty texts are clean; items without words are passed over; without items all is clean. Repeated
     rows get equal results, an empty table an empty one. Other columns are ignored.
     """
-    common.arrow(docs.sparkSession)
     docs = common.id_text(docs)
     makes = list(searches(docs, benchmark))
     key = "row" if len(makes) > 1 else "doc_id"

@@ -9,6 +9,7 @@ import time
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from bandloom.llm import decontamination, exact_dedup, langid, licenses, mixing, secrets, simhash, substring_dedup, tokens, url_filter, words
 
@@ -307,6 +308,16 @@ def test_product_is_a_plain_matrix_product(spark):
     assert got == pytest.approx(a.T @ (np.array([[w] for _, w in rows]) * (a @ x)), abs=1e-3)
 
 
+def test_the_latent_space_rests_on_every_document(spark, monkeypatch):
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("word"), F.when(F.col("id") % 1000 > 0, F.col("id"))).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(-1, ""), (-2, None), (-3, "long " * 100_000)], "doc_id long, text string"))
+    items = spark.createDataFrame([(1, "some words of an item"), (2, None)], "item_id long, text string")
+    seen, plain = [], decontamination.product
+    monkeypatch.setattr(decontamination, "product", lambda rows, *a: seen.append(rows.selectExpr("count(*) n", "sum(size(f)) words").first()) or plain(rows, *a))
+    next(decontamination.searches(docs, items))
+    assert [tuple(x) for x in seen] == [(30_002, 2 * 29_970 + 30 + 100_000 + 5)] * 2  # documents with words, and one item
+
+
 # ---- mixing
 
 
