@@ -12,7 +12,7 @@ BLOCK rows are cut into blocks whose pairs of blocks are separate groups. Equal
 Groups by Jaccard similarity check the links of near fingerprints exactly, and then find what no fingerprint of 64 bits
 can be relied on for, pairs just over the least similarity, with a prefix filter, which loses no pair. In any one order
 of all shingles, two sets of similarity t share one of the first n - ceil(t n) + 1 of each. The order puts common
-shingles last; which ones are common is estimated, and matters for the cost only. A first round checks every document
+shingles last, by the counts of buckets of hashes over all documents, and matters for the cost only. A first round checks every document
 against the first one of a bucket, which is linear and joins groups of copies; only buckets that still hold documents of
 different components go on, to rounds that take the nearest candidates of each row that the links found before do not
 connect. A candidate is left out beforehand only where the sets provably differ too much: with one parity bit a bucket
@@ -47,8 +47,10 @@ NEAR_BITS = 3
 SENT_IDS = 2_000_000
 #: Texts that are compared with one text in one task.
 PARTNERS_PER_TASK = 256
-#: Documents whose shingles are counted to find the common ones, the least count of these, and how many are kept.
-ORDER_DOCS, COMMON_COUNT, COMMON_KEPT = 50_000, 8, 500_000
+#: Shingles are counted by buckets of their hashes; one is common from COMMON_COUNT documents in ORDER_DOCS (or in fewer).
+BUCKETS, ORDER_DOCS, COMMON_COUNT = 1 << 23, 50_000, 8
+#: Counts of one row while the tasks' tables are added up.
+COUNTS = 1 << 14
 #: Relative costs of a probe row (shuffled and sorted) and of a compared pair.
 PROBE_COST, PAIR_COST = 2.0, 0.01
 SCHEMA = "doc_id long, fp long"
@@ -126,7 +128,7 @@ def set_prints(docs: DataFrame, size: int, least: float) -> DataFrame:
             for s in shingle_sets(b.column("text"), size):
                 digests.append(set_digest(s))
                 fps.append(majority(s, np.array([0, len(s)]))[0])
-                first, often = prefix(s, known, rank, least)
+                first, often = prefix(s, known, rank, least, BUCKETS - 1)
                 plain.append(first[~often].view(np.int64))
                 frequent.append(first[often].view(np.int64))
                 sketches.append(parities(s, 1 << max(9, (2 * len(s) - 1).bit_length())).tobytes())
@@ -525,27 +527,38 @@ def set_links(nodes: DataFrame, prints: DataFrame, docs: DataFrame, size: int, l
 
 
 def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
-    """Hashes of frequent shingles by falling frequency, from about ORDER_DOCS documents drawn by a hash of the text."""
-    share = min(1.0, ORDER_DOCS / max(docs.count(), 1))
-    drawn = docs.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    """The buckets of hashes (their low bits) with frequent shingles, by falling count. All docs(text) are counted, each
+    of them once for a shingle, in one table of counts a task, whose parts are added up."""
+    least = COMMON_COUNT * max(1.0, docs.count() / ORDER_DOCS)
 
     def run(batches):
+        counts = np.zeros(BUCKETS, np.int32)
         for b in batches:
-            sets = [s for s in shingle_sets(b.column("text"), size) if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))], ["bits"])
+            for s in shingle_sets(b.column("text"), size):
+                np.add.at(counts, (s & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
+        for at in range(0, BUCKETS, 64 * COUNTS):
+            ks = range(at, min(at + 64 * COUNTS, BUCKETS), COUNTS)
+            yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array([counts[k : k + COUNTS].tobytes() for k in ks], pa.binary())], ["k", "counts"])
+
+    def add(p: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(COUNTS, np.int64)
+        for c in p["counts"]:
+            total += np.frombuffer(c, np.int32)
+        found = np.flatnonzero(total >= least)
+        return pd.DataFrame({"bits": found + p["k"].iloc[0], "c": total[found]})
 
-    counts = drawn.select("text").mapInArrow(run, "bits long").groupBy("bits").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= COMMON_COUNT)
-    top = counts.orderBy(F.desc("c"), "bits").limit(COMMON_KEPT).select("bits").toPandas()
-    return top["bits"].to_numpy(np.int64).view(np.uint64)
+    found = docs.select("text").mapInArrow(run, "k long, counts binary").groupBy("k").applyInPandas(add, "bits long, c long").toPandas()
+    return found.sort_values(["c", "bits"], ascending=[False, True])["bits"].to_numpy(np.int64).view(np.uint64)
 
 
-def prefix(s: np.ndarray, known: np.ndarray, rank: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """The first n - ceil(least n) + 1 of the different hashes s in an order of all hashes, those not known (sorted)
-    first, then by falling rank; and which of them are known."""
+def prefix(s: np.ndarray, known: np.ndarray, rank: np.ndarray, least: float, bits: int = (1 << 64) - 1) -> tuple[np.ndarray, np.ndarray]:
+    """The first n - ceil(least n) + 1 of the different hashes s in an order of all hashes, those whose bits are not
+    known (sorted) first, then by falling rank; and which of them are known."""
     order = np.full(len(s), len(known))
     if len(known) and len(s):
-        at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-        order = np.where(known[at] == s, rank[at], order)
+        own = s & np.uint64(bits)
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        order = np.where(known[at] == own, rank[at], order)
     first = np.lexsort((s, -order))[: len(s) - math.ceil(least * len(s) - 1e-9) + 1]
     return s[first], order[first] < len(known)
 

@@ -251,6 +251,21 @@ def test_prefixes_of_similar_sets_meet():
             assert len(np.intersect1d(p[0], q[0])) and (p[1] == np.isin(p[0], known)).all()
 
 
+def test_common_shingles_are_counted_in_every_document(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "ORDER_DOCS", 10)
+    texts = [f"own{i} a b c d e " + "f g h i j " * (i % 3 == 0) + "k l m n o p " * (i % 6 == 0) + f"end{i}" for i in range(60)] + [""]
+    counts = {}
+    for s in simhash.shingle_sets(pa.array(texts), 5):
+        for b in {h & (simhash.BUCKETS - 1) for h in s.tolist()}:
+            counts[b] = counts.get(b, 0) + 1
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    for least in (1.6, 3):  # of 10 documents
+        monkeypatch.setattr(simhash, "COMMON_COUNT", least)
+        want = {b: n for b, n in counts.items() if n >= least * 6.1}
+        got = simhash.common_shingles(docs, 5).tolist()
+        assert set(got) == set(want) and len(got) == len(want) and [want[b] for b in got] == sorted(want.values(), reverse=True)
+
+
 def test_parities_rule_no_similar_pair_out():
     rng = np.random.default_rng(8)
     out = 0
