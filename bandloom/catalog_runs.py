@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -176,15 +177,17 @@ def spectrum_lookup(spark, d):
     m AS (SELECT image_key, least(min(r), min(g), min(b)) AS lo, greatest(max(r), max(g), max(b)) AS hi FROM e GROUP BY 1)
     SELECT image_key, CAST(count(*) AS INTEGER) AS pixels, CAST(sum(floor(255 * (b - lo) / (hi - lo))) AS BIGINT) AS first, CAST(sum(floor(255 * (r - lo) / (hi - lo))) AS BIGINT) AS third, CAST(255 * sum(CASE WHEN m > 0 THEN 1 ELSE 0 END) AS BIGINT) AS alpha FROM e JOIN m USING (image_key) GROUP BY 1""")
 def rgba_png(spark, d):
-    """Sums of the channels of each image's overlay after encoding as RGBA PNG and decoding."""
+    """Sums of the channels of each image's overlay after encoding as RGBA PNG and decoding; null where no pixel has the band."""
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("vec_id")
-        a = codecs.rgba_decode(codecs.rgba_image(p[["r", "g", "b"]].to_numpy()[None], p["m"].to_numpy()[None])).astype(int)
-        return pd.DataFrame({"image_key": [p["image_key"].iloc[0]], "pixels": a.shape[1], "first": a[:, :, 0].sum(), "third": a[:, :, 2].sum(), "alpha": a[:, :, 3].sum()})
+        rgb = p[["r", "g", "b"]].to_numpy(float)
+        a = codecs.rgba_decode(codecs.rgba_image(np.nan_to_num(rgb)[None], p["opaque"].to_numpy()[None])).astype(int)
+        first, third = (None if np.isnan(rgb[:, 2 - k]).all() else a[:, :, k].sum() for k in (0, 2))
+        return pd.DataFrame({"image_key": [p["image_key"].iloc[0]], "pixels": a.shape[1], "first": first, "third": third, "alpha": a[:, :, 3].sum()})
 
-    p = pixels(spark, d)
-    rgb = raster.rgb_stretch(p, (10, 20, 30)).join(p.select("vec_id", F.element_at("spectrum", 1).alias("m")), "vec_id")
+    p = pixels(spark, d).withColumn("opaque", F.coalesce(F.try_element_at("spectrum", F.lit(1)) > 0, F.lit(False)))
+    rgb = raster.rgb_stretch(p, (10, 20, 30), ["opaque"])
     return rgb.groupBy("image_key").applyInPandas(run, "image_key int, pixels int, first long, third long, alpha long")
 
 

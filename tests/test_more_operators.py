@@ -259,3 +259,25 @@ def test_overlay_rounds_as_its_sql(spark, tmp_path):
     c.sql(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
     want = c.sql(f"select image_key, pixels, first, third, alpha from ({catalog.SQL['rgba_png']})").fetchall()
     assert sorted(map(tuple, catalog.QUERIES["rgba_png"](spark, str(tmp_path)).collect())) == sorted(want) and len(want) == len(ends)
+
+
+def test_overlay_counts_every_row_as_its_sql(spark, tmp_path):
+    """Repeated and null vec_ids, NaN or nothing in the mask's band, missing values, short and missing spectra."""
+    duckdb = pytest.importorskip("duckdb")
+    nan, full = float("nan"), lambda m, r, g, b: [m] * 9 + [r] * 10 + [g] * 10 + [b]
+    images = {
+        0: [(1, full(0.5, 0.1, 0.2, 0.3)), (1, full(-0.5, 0.4, 0.5, 0.6)), (2, full(0.5, 0.7, 0.8, 0.9))],
+        1: [(None, full(0.5, 0.1, 0.2, 0.3)), (None, full(0.5, 0.4, 0.5, 0.6)), (1, full(0.5, 0.7, 0.8, 0.9))],
+        2: [(3, full(nan, 0.1, 0.2, 0.3)), (4, full(None, 0.4, 0.5, 0.6)), (5, full(0.0, 0.7, 0.8, 0.9))],
+        3: [(6, full(0.5, 0.1, 0.2, None)), (7, full(0.5, 0.4, None, None))],
+        4: [(8, full(0.5, 0.1, 0.2, 0.3)[:25]), (9, []), (10, None), (11, full(0.5, 0.4, 0.5, 0.6))],
+        5: [(12, None), (13, full(0.5, None, None, None))],
+        None: [(14, full(0.5, 0.1, 0.2, 0.3))],
+    }
+    rows = [(v, s, k) for k, of_image in images.items() for v, s in of_image]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    c = duckdb.connect()
+    c.sql(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    for name in ("rgba_png", "rgb_stretch"):
+        want, got = c.sql(catalog.SQL[name]).fetchall(), map(tuple, catalog.QUERIES[name](spark, str(tmp_path)).collect())
+        assert sorted(got, key=str) == sorted(want, key=str) and want
